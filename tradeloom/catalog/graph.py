@@ -125,11 +125,11 @@ def _(m: Market):
     check_sql(
         "bought",
         """SELECT a.good_id, a.cnt + b.cnt AS total_bought FROM bought a JOIN bought b USING (good_id)
-           WHERE a.user_id = 3 AND b.user_id = 108""",
+           WHERE a.user_id = 1 AND b.user_id = 10""",
     ),
 )
 def _(m: Market):
-    return g.common_purchases(_graph(m).bought, 3, 108)
+    return g.common_purchases(_graph(m).bought, 1, 10)
 
 
 _SIMILAR = """
@@ -222,17 +222,17 @@ _EDGES = """
     "G9",
     check_sql(
         "bought",
-        """SELECT len(path) - 1 AS hops, array_to_string(path, '>') AS path FROM walk WHERE node = 'u108'
+        """SELECT len(path) - 1 AS hops, array_to_string(path, '>') AS path FROM walk WHERE node = 'u10'
            ORDER BY len(path), path LIMIT 1""",
         recursive=True,
         edges=_EDGES,
-        walk="""SELECT 'u3' AS node, ['u3'] AS path UNION
+        walk="""SELECT 'u1' AS node, ['u1'] AS path UNION
                 SELECT e.dst, list_append(w.path, e.dst) FROM walk w JOIN edges e ON e.src = w.node
                 WHERE len(w.path) <= 3 AND NOT list_contains(w.path, e.dst)""",
     ),
 )
 def _(m: Market):
-    found = g.shortest_path(_bought_edges(m), "u3", "u108", 3)
+    found = g.shortest_path(_bought_edges(m), "u1", "u10", 3)
     return found.withColumn("path", F.array_join("path", ">"))
 
 
@@ -241,7 +241,7 @@ def _(m: Market):
     "G9",
     check_sql(
         "bought goods reviews",
-        "SELECT min(hops) AS hops FROM walk WHERE node = 'u100' HAVING count(*) > 0",
+        "SELECT min(hops) AS hops FROM walk WHERE node = 'u20' HAVING count(*) > 0",
         recursive=True,
         links=_EDGES
         + """ UNION ALL SELECT 'g' || good_id, 'u' || merch_id FROM goods UNION ALL SELECT 'u' || merch_id, 'g' || good_id FROM goods
@@ -259,7 +259,7 @@ def _(m: Market):
         (graph.sold_by, "good_id", "g", "user_id", "u"),
         (graph.in_category, "good_id", "g", "caty_id", "c"),
     )
-    return g.shortest_path(edges, "u1", "u100", 5).select("hops")
+    return g.shortest_path(edges, "u1", "u20", 5).select("hops")
 
 
 @query(

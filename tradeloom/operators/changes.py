@@ -178,12 +178,10 @@ def list_bucket(value: Column | str, **lists: list[str]) -> Column:
 def write_partitioned(df: DataFrame, bucket: Column, path: str) -> tuple[int, int]:
     """Write a copy partitioned by ``bucket``; returns old and new row counts.
 
-    Rows are spread by bucket and a part number, so that a bucket holding most
-    rows is written by many tasks.
+    Rebalancing gives each bucket few files, and a bucket holding most rows
+    several writers.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    spread = df.withColumn("bucket", bucket).withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(parts)))
-    spread.repartition("bucket", "_part").drop("_part").write.partitionBy("bucket").parquet(path)
+    df.withColumn("bucket", bucket).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
     return df.count(), df.sparkSession.read.parquet(path).count()
 
 

@@ -71,9 +71,9 @@ class SnapshotTable:
             version = f"{batch_id:012d}-{uuid.uuid4().hex[:8]}"
             merged = combine(self.read(touched), batch.select(*self.read([]).columns))
             out = merged.withColumn("part", self.part.cast("string"))
-            # Spread each partition over many writers; one may hold most rows.
-            spread = F.pmod(F.xxhash64(*self.keys), F.lit(64))
-            out.repartition("part", spread).write.partitionBy("part").parquet(f"{self.path}/data/{version}")
+            # Rebalancing splits a partition that holds most rows over several
+            # writers and lets small ones share one.
+            out.hint("rebalance", "part").write.partitionBy("part").parquet(f"{self.path}/data/{version}")
             rows = [(p, version, batch_id, batch_id) for p in touched]
         rows = rows or [(None, None, batch_id, batch_id)]
         self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{self.path}/log")
