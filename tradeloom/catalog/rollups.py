@@ -227,9 +227,9 @@ def _streamed(m: Market, kind: str):
     orders, reviews = _events(m)
     deltas = rollups.order_deltas(orders).unionByName(rollups.review_deltas(reviews))
     source, target = new_folder(m.spark, "deltas"), new_folder(m.spark, "rollups")
-    deltas.write.parquet(source)
+    deltas.repartition(8).write.parquet(source)
     stream = m.spark.readStream.schema(deltas.schema).option("maxFilesPerTrigger", 4).parquet(source)
-    maintain_rollups(stream, target, new_folder(m.spark, "progress")).awaitTermination()
+    maintain_rollups(stream, target, new_folder(m.spark, "progress"), kinds=(kind,)).awaitTermination()
     return rollup_tables(m.spark, target)[kind].read()
 
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-_LOG = "tag string, folder string, made_at double"
+from tradeloom.plans.staging import list_names, read_text, write_text
 
 
 class ReportCache:
@@ -27,22 +27,12 @@ class ReportCache:
         again; dropping a cached report is giving its input a new version.
         """
         tag = json.dumps([name, sorted(inputs.items())])
-        found = (
-            self._log()
-            .where((F.col("tag") == tag) & (F.col("made_at") > now - self.max_age_s) & (F.col("made_at") <= now))
-            .orderBy(F.desc("made_at"))
-            .first()
-        )
-        if found:
-            return self.spark.read.parquet(found["folder"]), "cache"
+        entry = f"{hashlib.sha256(tag.encode()).hexdigest()}.json"
+        if entry in list_names(self.spark, f"{self.path}/log"):
+            known = json.loads(read_text(self.spark, f"{self.path}/log/{entry}"))
+            if now - self.max_age_s < known["made_at"] <= now:
+                return self.spark.read.parquet(known["folder"]), "cache"
         folder = f"{self.path}/{uuid.uuid4().hex}"
         compute().write.parquet(folder)
-        entry = self.spark.createDataFrame([(tag, folder, float(now))], _LOG)
-        entry.coalesce(1).write.mode("append").json(f"{self.path}/log")
+        write_text(self.spark, f"{self.path}/log/{entry}", json.dumps({"folder": folder, "made_at": now}))
         return self.spark.read.parquet(folder), "fresh"
-
-    def _log(self) -> DataFrame:
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/log")
-        if not target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target):
-            return self.spark.createDataFrame([], _LOG)
-        return self.spark.read.schema(_LOG).json(f"{self.path}/log")

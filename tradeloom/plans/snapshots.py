@@ -1,25 +1,33 @@
 """Keyed tables on plain Parquet: partitions replaced in versions.
 
-Parquet has no MERGE.  A table here is a folder of partition versions and a
-small log saying which version of each partition is current::
+Parquet has no MERGE.  A table here is a folder of partition versions and one
+small file per batch saying which version of each partition is current::
 
     <path>/data/<version>/part=<p>/...
-    <path>/log/...            (part, version, batch_id), one row per change
+    <path>/log/<batch>.json       {partition: version}, complete
 
-A commit writes new versions of the partitions it touches and then appends to
-the log.  Readers of the old versions are not disturbed, a crash before the log
-entry leaves no trace, and a batch committed once is skipped when replayed.
+A commit writes new versions of the partitions it touches and then its log
+file.  Readers of the old versions are not disturbed, a crash before the log
+file leaves no trace, and a batch committed once is skipped when replayed.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LOG_SCHEMA = "part string, version string, batch_id bigint, seq bigint"
+from tradeloom.plans.sizing import MIB, source_bytes
+from tradeloom.plans.staging import list_names, read_text, write_text
+
+# What one writer should take of one partition, and how many may run at most.
+FILE_ROWS = 2_000_000
+FILE_BYTES = 128 * MIB
+MAX_WRITERS = 10_000
 
 
 class SnapshotTable:
@@ -31,52 +39,62 @@ class SnapshotTable:
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: str, keys: list[str], part: Column):
-        self.spark, self.path, self.schema, self.keys, self.part = spark, path.rstrip("/"), schema, keys, part
-
-    def _log(self) -> DataFrame:
-        # Opened by schema: a folder that does not exist yet is an empty log.
-        jvm = self.spark._jvm
-        target = jvm.org.apache.hadoop.fs.Path(f"{self.path}/log")
-        fs = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(target):
-            return self.spark.createDataFrame([], LOG_SCHEMA)
-        return self.spark.read.schema(LOG_SCHEMA).json(f"{self.path}/log")
-
-    def _current(self) -> dict[str, str]:
-        """Current version of each partition."""
-        latest = self._log().where("part is not null").groupBy("part").agg(F.max_by("version", "seq").alias("version"))
-        return {r["part"]: r["version"] for r in latest.collect()}
+        self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, keys
+        self.part = F.coalesce(part.cast("string"), F.lit("none"))
+
+    def _latest(self) -> tuple[int, dict[str, str]]:
+        """Last committed batch (-1: none) and the current version of each
+        partition."""
+        names = list_names(self.spark, f"{self.path}/log")
+        if not names:
+            return -1, {}
+        newest = names[-1]
+        return int(newest.split(".")[0]), json.loads(read_text(self.spark, f"{self.path}/log/{newest}"))
 
     def last_batch(self) -> int:
-        found = self._log().agg(F.max("batch_id").alias("b")).first()["b"]
-        return -1 if found is None else found
+        return self._latest()[0]
+
+    def read(self) -> DataFrame:
+        return self._read(self._latest()[1])
 
-    def read(self, parts: list[str] | None = None) -> DataFrame:
-        versions = self._current()
-        if parts is not None:
-            versions = {p: v for p, v in versions.items() if p in set(parts)}
+    def _read(self, versions: dict[str, str]) -> DataFrame:
         if not versions:
             return self.spark.createDataFrame([], self.schema)
-        folders = [f"{self.path}/data/{v}/part={p}" for p, v in versions.items()]
-        return self.spark.read.schema(self.schema).parquet(*folders)
+        # Few versions, each pruned to the partitions it is current for.
+        by_version: dict[str, list[str]] = {}
+        for p, v in versions.items():
+            by_version.setdefault(v, []).append(p)
+        schema = f"{self.schema}, part string"
+        pieces = [
+            self.spark.read.schema(schema).parquet(f"{self.path}/data/{v}").where(F.col("part").isin(ps))
+            for v, ps in by_version.items()
+        ]
+        return reduce(DataFrame.unionByName, pieces).drop("part")
 
     def commit(self, batch: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame], batch_id: int) -> bool:
         """Combine the touched partitions with ``batch``; False if seen before."""
-        if batch_id <= self.last_batch():
+        last, current = self._latest()
+        if batch_id <= last:
             return False
-        labelled = batch.withColumn("part", self.part.cast("string"))
-        touched = [r["part"] for r in labelled.select("part").distinct().collect()]
-        rows = []
-        if touched:
+        labelled = batch.withColumn("part", self.part)
+        sizes = {r["part"]: r["count"] for r in labelled.groupBy("part").count().collect()}
+        touched = {p: current[p] for p in sizes if p in current}
+        if sizes:
             version = f"{batch_id:012d}-{uuid.uuid4().hex[:8]}"
-            merged = combine(self.read(touched), batch.select(*self.read([]).columns))
-            out = merged.withColumn("part", self.part.cast("string"))
-            # Rebalancing splits a partition that holds most rows over several
-            # writers and lets small ones share one.
-            out.hint("rebalance", "part").write.partitionBy("part").parquet(f"{self.path}/data/{version}")
-            rows = [(p, version, batch_id, batch_id) for p in touched]
-        rows = rows or [(None, None, batch_id, batch_id)]
-        self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{self.path}/log")
+            old = self._read(touched)
+            merged = combine(old, batch.select(*old.columns))
+            out = merged.withColumn("part", self.part)
+            # One writer per partition while partitions are small; a partition
+            # that grew large is spread over as many as its rows ask for.
+            stored = source_bytes(old) if touched else 0
+            spread = 1 + max(max(sizes.values()) // FILE_ROWS, stored // (len(sizes) * FILE_BYTES))
+            salt = F.pmod(F.xxhash64(*self.keys), F.lit(spread))
+            usual = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
+            wanted = max(usual, sum(sizes.values()) // FILE_ROWS, stored // FILE_BYTES)
+            writers = min(len(sizes) * spread, wanted, MAX_WRITERS)
+            out.repartition(writers, "part", salt).write.partitionBy("part").parquet(f"{self.path}/data/{version}")
+            current = {**current, **dict.fromkeys(sizes, version)}
+        write_text(self.spark, f"{self.path}/log/{batch_id:020d}.json", json.dumps(current))
         return True
 
     def upsert(self, batch: DataFrame, batch_id: int) -> bool:

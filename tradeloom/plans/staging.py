@@ -33,3 +33,39 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the visible files in a folder; none if it does not exist."""
+    fs, target = _file_system(spark, folder)
+    if not fs.exists(target):
+        return []
+    names = (status.getPath().getName() for status in fs.listStatus(target))
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, target = _file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small file, all at once or not at all."""
+    folder, name = path.rsplit("/", 1)
+    fs, hidden = _file_system(spark, f"{folder}/_{uuid.uuid4().hex}.tmp")
+    out = fs.create(hidden)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    final = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    fs.delete(final, False)
+    if not fs.rename(hidden, final):
+        raise RuntimeError(f"could not write {path}")
