@@ -49,10 +49,15 @@ def missing_fields(value: Column) -> Column:
 
 
 def event_type_text(value: Column) -> Column:
-    """``eventType`` as text; empty when absent, null, nested or unparsable."""
+    """``eventType`` as text; empty when absent, null, nested or unparsable.
+
+    Text that looks like an object or array is parsed again to see whether it is
+    one or a string saying so; all other events take the short way.
+    """
+    raw = F.get_json_object(value, "$.eventType")
     held = F.try_variant_get(F.try_parse_json(value), "$.eventType", "variant")
-    nested = F.schema_of_variant(held).rlike("^(OBJECT|ARRAY)")
-    return F.when(text_keys(value).isNotNull() & ~F.coalesce(nested, F.lit(False)), F.coalesce(F.get_json_object(value, "$.eventType"), F.lit(""))).otherwise("")
+    nested = F.when(raw.rlike(r"^[\[{]"), F.schema_of_variant(held).rlike("^(OBJECT|ARRAY)")).otherwise(False)
+    return F.when(text_keys(value).isNotNull() & ~nested, F.coalesce(raw, F.lit(""))).otherwise("")
 
 
 def group_key(value: Column) -> Column:

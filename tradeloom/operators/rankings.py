@@ -106,6 +106,7 @@ def counter_rate(
     increase is extended to the edges of the range as far as the sample spacing
     supports it.  Every sample also goes to the next time slice, which gives
     each slice its whole lookback and keeps a busy series spread over slices.
+    A series has at most one sample per millisecond.
     """
     slice_no = F.floor(F.col(at_ms) / range_ms)
     placed = samples.select("*", F.explode(F.array(slice_no, slice_no + 1)).alias("_slice"))
@@ -117,22 +118,20 @@ def counter_rate(
         .otherwise(F.col(value) - F.col("_prev"))
         .cast("double"),
     )
+    # Running sum and count, so that only the first sample of the range has to
+    # be looked up; everything in between is a difference.
+    so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
+    summed = stepped.withColumn("_sum", F.sum("_step").over(so_far)).withColumn("_no", F.row_number().over(ordered))
     look = ordered.rangeBetween(-(range_ms - 1), 0)
-    seen = stepped.select(
-        "*",
-        F.count(F.lit(1)).over(look).alias("_n"),
-        F.sum("_step").over(look).alias("_steps"),
-        F.first("_step").over(look).alias("_first_step"),
-        F.first(value).over(look).cast("double").alias("_first"),
-        F.first(at_ms).over(look).alias("_first_at"),
-    ).where(F.col("_slice") == slice_no)
-    # The first sample's own step leads out of the range.
-    increase = F.col("_steps") - F.col("_first_step")
-    sampled = (F.col(at_ms) - F.col("_first_at")) / 1000.0
+    opening = F.struct("_sum", "_no", F.col(value).cast("double").alias("_value"), F.col(at_ms).alias("_at"))
+    seen = summed.withColumn("_first", F.first(opening).over(look)).where(F.col("_slice") == slice_no)
+    increase = F.col("_sum") - F.col("_first._sum")
+    sampled = (F.col(at_ms) - F.col("_first._at")) / 1000.0
+    count = F.col("_no") - F.col("_first._no") + 1
     return seen.select(
         *series,
         at_ms,
-        _extended_rate(increase, sampled, F.col("_n"), F.col("_first"), range_ms / 1000.0).alias("rate"),
+        _extended_rate(increase, sampled, count, F.col("_first._value"), range_ms / 1000.0).alias("rate"),
     )
 
 

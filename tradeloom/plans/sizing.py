@@ -13,6 +13,8 @@ ONE_TASK_BYTES = 512 * MIB
 # Input per task that split plans aim for.
 CHUNK_BYTES = 256 * MIB
 MAX_CHUNKS = 100_000
+# What the planner reports for a leaf it knows nothing about is far above this.
+UNKNOWN_BYTES = 2**60
 
 
 def source_bytes(df: DataFrame) -> int:
@@ -32,5 +34,8 @@ def fits_one_task(df: DataFrame) -> bool:
 
 def chunk_count(df: DataFrame) -> int:
     """Number of range partitions for a split plan over ``df``."""
-    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(2, floor, min(MAX_CHUNKS, source_bytes(df) // CHUNK_BYTES))
+    usual = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    size = source_bytes(df)
+    if size >= UNKNOWN_BYTES:
+        return usual * 4
+    return max(usual, min(MAX_CHUNKS, size // CHUNK_BYTES))
