@@ -122,7 +122,8 @@ def _(m: Market):
     check_sql("goods", "SELECT n AS common_neighbours, count(*) AS pairs FROM pairs GROUP BY 1", pairs=_PAIRS),
 )
 def _(m: Market):
-    return g.common_neighbour_totals(m.goods)
+    totals = g.common_neighbour_totals(m.goods)
+    return totals.withColumn("pairs", F.col("pairs").cast("bigint"))
 
 
 @query(

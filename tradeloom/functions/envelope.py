@@ -54,15 +54,21 @@ def event_type_text(value: Column) -> Column:
     Text that looks like an object or array is parsed again to see whether it is
     one or a string saying so; all other events take the short way.
     """
+    raw, usable = _event_type(value)
+    return F.when(usable, F.coalesce(raw, F.lit(""))).otherwise("")
+
+
+def _event_type(value: Column) -> tuple[Column, Column]:
     raw = F.get_json_object(value, "$.eventType")
     held = F.try_variant_get(F.try_parse_json(value), "$.eventType", "variant")
     nested = F.when(raw.rlike(r"^[\[{]"), F.schema_of_variant(held).rlike("^(OBJECT|ARRAY)")).otherwise(False)
-    return F.when(text_keys(value).isNotNull() & ~nested, F.coalesce(raw, F.lit(""))).otherwise("")
+    return raw, text_keys(value).isNotNull() & ~nested
 
 
 def group_key(value: Column) -> Column:
     """Event type to group by."""
-    return F.coalesce(F.nullif(event_type_text(value), F.lit("")), F.lit("UNKNOWN"))
+    raw, usable = _event_type(value)
+    return F.when(usable, F.coalesce(F.nullif(raw, F.lit("")), F.lit("UNKNOWN"))).otherwise("UNKNOWN")
 
 
 def normalised(value: Column) -> Column:

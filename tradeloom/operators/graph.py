@@ -118,20 +118,18 @@ def common_neighbour_totals(goods: DataFrame) -> DataFrame:
     """
 
     def pairs(*keys: str) -> DataFrame:
-        sizes = goods.groupBy(*keys).agg(F.count(F.lit(1)).cast("decimal(38,0)").alias("n"))
-        half = F.call_function("div", F.col("n") * (F.col("n") - 1), F.lit(2))
-        return sizes.agg(F.coalesce(F.sum(half.cast("bigint")), F.lit(0)).alias("p"))
+        # Decimals: a group of billions has more pairs than a bigint can count.
+        sizes = goods.groupBy(*keys).agg(F.count(F.lit(1)).cast("decimal(18,0)").alias("n"))
+        return sizes.agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1)) / 2, F.lit(0)).cast("decimal(38,0)").alias("p"))
 
     both = pairs("caty_id", "merch_id").select(F.col("p").alias("both"))
     totals = both.withColumn("cat", pairs("caty_id").scalar()).withColumn("mer", pairs("merch_id").scalar())
-    return totals.select(
-        F.explode(
-            F.array(
-                F.struct(F.lit(1).cast("bigint").alias("common_neighbours"), (F.col("cat") + F.col("mer") - F.col("both") * 2).alias("pairs")),
-                F.struct(F.lit(2).cast("bigint").alias("common_neighbours"), F.col("both").alias("pairs")),
-            )
-        ).alias("t")
-    ).select("t.*")
+    one = (F.col("cat") + F.col("mer") - F.col("both") * 2).cast("decimal(38,0)")
+
+    def row(neighbours: int, count) -> "F.Column":
+        return F.struct(F.lit(neighbours).cast("bigint").alias("common_neighbours"), count.alias("pairs"))
+
+    return totals.select(F.inline(F.array(row(1, one), row(2, F.col("both")))))
 
 
 def common_neighbours(goods: DataFrame, k: int = 20) -> DataFrame:

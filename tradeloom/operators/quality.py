@@ -102,8 +102,8 @@ def copy_parity(**tables: tuple[DataFrame, DataFrame]) -> DataFrame:
     for name, (left, right) in tables.items():
         row = None
         for side, df in (("left", left), ("right", right)):
-            # Sum of row hashes, modulo a fixed range so that it cannot overflow.
-            part = df.select(F.pmod(F.xxhash64(*sorted(df.columns)), F.lit(2**31 - 1)).alias("h")).agg(
+            # Summed as decimals: 64-bit hashes of many rows would overflow.
+            part = df.select(F.xxhash64(*sorted(df.columns)).cast("decimal(20,0)").alias("h")).agg(
                 F.count(F.lit(1)).alias(f"{side}_rows"), F.coalesce(F.sum("h"), F.lit(0)).alias(f"{side}_sum")
             )
             if row is None:

@@ -70,7 +70,8 @@ def moving_ratings(goods: DataFrame, reviews: DataFrame, rows: int = 3, split: b
 def category_share(categories: DataFrame, goods: DataFrame, orders: DataFrame) -> DataFrame:
     """Orders per category and their share of all orders.
 
-    The window runs over one row per category, after the aggregation.
+    The total is a scalar subquery over the same counts, so nothing is gathered
+    in one window.
     """
     per_good = orders.groupBy("good_id").agg(F.count(F.lit(1)).alias("_n"))
     per_category = (
@@ -79,7 +80,7 @@ def category_share(categories: DataFrame, goods: DataFrame, orders: DataFrame) -
     counts = categories.join(per_category, "caty_id", "left").select(
         "caty_id", F.col("name").alias("category_name"), F.coalesce("_n", F.lit(0)).alias("order_count")
     )
-    everything = F.sum("order_count").over(W.partitionBy(F.lit(0)))
+    everything = counts.select(F.sum("order_count")).scalar()
     return counts.select(
         "*", percent_half_up("order_count", F.nullif(everything, F.lit(0))).alias("percentage_of_total_orders")
     )

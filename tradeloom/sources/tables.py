@@ -33,13 +33,15 @@ def read_table(
     return reader.load()
 
 
-def read_csv_entities(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv_entities(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """CSV with a header; whole numbers that do not parse become NULL.
 
-    Columns are read as text by header name and cast, so a bad value costs the
-    value and not the row.
+    Columns are read as text and cast, so a bad value costs the value and not
+    the row.  Line breaks inside quotes need ``multi_line``, which gives up
+    splitting large files.
     """
-    raw = spark.read.option("header", True).schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema])).csv(path)
+    reader = spark.read.options(header=True, escape='"', multiLine=multi_line)
+    raw = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema])).csv(path)
     whole = (T.LongType, T.IntegerType)
     return raw.select(
         *[
@@ -58,7 +60,8 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType | str, a
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).csv(path)
+    """CSV with a header, quotes doubled."""
+    df.write.options(header=True, escape='"').csv(path)
 
 
 def export_documents(df: DataFrame, path: str) -> None:
