@@ -54,21 +54,23 @@ def event_type_text(value: Column) -> Column:
     Text that looks like an object or array is parsed again to see whether it is
     one or a string saying so; all other events take the short way.
     """
-    raw, usable = _event_type(value)
-    return F.when(usable, F.coalesce(raw, F.lit(""))).otherwise("")
+    raw, nested = _event_type(value)
+    return F.when(text_keys(value).isNotNull() & ~nested, F.coalesce(raw, F.lit(""))).otherwise("")
 
 
 def _event_type(value: Column) -> tuple[Column, Column]:
+    """The raw text of ``eventType``, and whether it is an object or array."""
     raw = F.get_json_object(value, "$.eventType")
     held = F.try_variant_get(F.try_parse_json(value), "$.eventType", "variant")
     nested = F.when(raw.rlike(r"^[\[{]"), F.schema_of_variant(held).rlike("^(OBJECT|ARRAY)")).otherwise(False)
-    return raw, text_keys(value).isNotNull() & ~nested
+    return raw, nested
 
 
 def group_key(value: Column) -> Column:
     """Event type to group by."""
-    raw, usable = _event_type(value)
-    return F.when(usable, F.coalesce(F.nullif(raw, F.lit("")), F.lit("UNKNOWN"))).otherwise("UNKNOWN")
+    raw, nested = _event_type(value)
+    named = text_keys(value).isNotNull() & ~nested
+    return F.when(named, F.coalesce(F.nullif(raw, F.lit("")), F.lit("UNKNOWN"))).otherwise("UNKNOWN")
 
 
 def normalised(value: Column) -> Column:
@@ -78,13 +80,22 @@ def normalised(value: Column) -> Column:
     their exact text unless the field is there already and must be replaced.
     """
     name = "normalizedType"
-    field = F.to_json(F.struct(F.upper(event_type_text(value)).alias(name)))
     keys = text_keys(value)
-    as_map = F.from_json(value, "map<string,variant>")
-    rest = F.when(F.array_contains(keys, name), F.to_json(F.map_filter(as_map, lambda k, _: k != name))).otherwise(value)
-    body = F.rtrim(F.left(F.rtrim(rest), F.length(F.rtrim(rest)) - 1))
-    comma = F.when(F.endswith(body, F.lit("{")), F.lit("")).otherwise(F.lit(","))
-    return F.when(keys.isNotNull(), F.concat(body, comma, F.substr(field, F.lit(2)))).otherwise(value)
+    raw, nested = _event_type(value)
+    kind = F.when(nested, F.lit("")).otherwise(F.upper(F.coalesce(raw, F.lit(""))))
+    field = F.substr(F.to_json(F.struct(kind.alias(name))), F.lit(2))
+
+    def with_field(text: Column) -> Column:
+        body = F.rtrim(F.left(F.rtrim(text), F.length(F.rtrim(text)) - 1))
+        return F.concat(body, F.when(F.endswith(body, F.lit("{")), F.lit("")).otherwise(F.lit(",")), field)
+
+    others = F.to_json(F.map_filter(F.from_json(value, "map<string,variant>"), lambda k, _: k != name))
+    return (
+        F.when(keys.isNull(), value)
+        .when(F.instr(value, f'"{name}"') == 0, with_field(value))
+        .when(F.array_contains(keys, name), with_field(others))
+        .otherwise(with_field(value))
+    )
 
 
 def event_time(value: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tradeloom.operators.rollups import COUNTERS, ROLLUP_KEYS, fold
 from tradeloom.plans.snapshots import SnapshotTable
 from tradeloom.sources.tables import read_outbox_increment, write_dead_letters
-from tradeloom.streaming.envelopes import check_envelopes, dead_letters, rekey, timed
+from tradeloom.streaming.envelopes import dead_letters, rekey, split_envelopes, timed
 from tradeloom.streaming.windows import COUNT_KEYS, COUNT_SCHEMA, windowed_count
 
 ROLLUP_SCHEMAS = {
@@ -72,13 +72,12 @@ def audit_events(
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        checked = check_envelopes(batch)
-        valid = checked.where(F.col("error").isNull())
+        valid, invalid = split_envelopes(batch)
         kept = valid.select(
             *[F.get_json_object("value", f"$.{f}").alias(f) for f in ("eventId", "eventType", "entityId")]
         )
         kept.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        bad = dead_letters(checked.where(F.col("error").isNotNull()), consumer)
+        bad = dead_letters(invalid, consumer)
         write_dead_letters(bad, f"{dead_path}/batch={batch_id}", mode="overwrite")
 
     return start(records, _held(each), checkpoint, "append", every)
@@ -87,8 +86,7 @@ def audit_events(
 def count_types(records: DataFrame, name: str, checkpoint: str | None = None) -> StreamingQuery:
     """Running counter per event type of the valid events, complete on every
     batch.  The state is one row per type."""
-    checked = check_envelopes(records).where(F.col("error").isNull())
-    counts = rekey(checked).groupBy(F.col("key").alias("event_type")).agg(F.count(F.lit(1)).alias("n"))
+    counts = rekey(split_envelopes(records)[0]).groupBy(F.col("key").alias("event_type")).agg(F.count(F.lit(1)).alias("n"))
     writer = counts.writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
