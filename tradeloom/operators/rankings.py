@@ -10,6 +10,7 @@ from tradeloom.functions.dialect import nulls_first, percent_half_up, ratio_half
 from tradeloom.functions.hashing import mix
 from tradeloom.operators.joins import customers, merchants
 from tradeloom.plans.ordered import rank_by_value, row_index, sliding_frame
+from tradeloom.plans.sizing import fits_one_task
 
 
 def merchant_ranks(users: DataFrame, goods: DataFrame, k: int | None = 10) -> DataFrame:
@@ -70,8 +71,9 @@ def moving_ratings(goods: DataFrame, reviews: DataFrame, rows: int = 3, split: b
 def category_share(categories: DataFrame, goods: DataFrame, orders: DataFrame) -> DataFrame:
     """Orders per category and their share of all orders.
 
-    The total is a scalar subquery over the same counts, so nothing is gathered
-    in one window.
+    With a category table of ordinary size the total is a window over the one
+    row per category; with a huge one it is a scalar subquery, which gathers
+    nothing but costs the counts a second time.
     """
     per_good = orders.groupBy("good_id").agg(F.count(F.lit(1)).alias("_n"))
     per_category = (
@@ -80,7 +82,10 @@ def category_share(categories: DataFrame, goods: DataFrame, orders: DataFrame) -
     counts = categories.join(per_category, "caty_id", "left").select(
         "caty_id", F.col("name").alias("category_name"), F.coalesce("_n", F.lit(0)).alias("order_count")
     )
-    everything = counts.select(F.sum("order_count")).scalar()
+    if fits_one_task(categories):
+        everything = F.sum("order_count").over(W.partitionBy(F.lit(0)))
+    else:
+        everything = counts.select(F.sum("order_count")).scalar()
     return counts.select(
         "*", percent_half_up("order_count", F.nullif(everything, F.lit(0))).alias("percentage_of_total_orders")
     )

@@ -196,8 +196,11 @@ def top_merchants(products: DataFrame, category_id: int | None = None, k: int |
     """Document form: merchants by number of products, all or in one category."""
     if category_id is not None:
         products = products.where(F.col("category_id") == category_id)
-    report = products.groupBy("merchant_id").agg(
-        F.min("merchant_name").alias("merchant_name"), F.count(F.lit(1)).alias("count")
+    # Names are grouped first: a minimum over text needs a sort, and this way it
+    # runs over one row per merchant and name only.
+    named = products.groupBy("merchant_id", "merchant_name").agg(F.count(F.lit(1)).alias("_n"))
+    report = named.groupBy("merchant_id").agg(
+        F.min("merchant_name").alias("merchant_name"), F.sum("_n").alias("count")
     )
     return top_k(report, [nulls_last("count"), F.col("merchant_id")], k)
 

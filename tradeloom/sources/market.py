@@ -110,7 +110,7 @@ class Market:
         wide = "decimal(38,0)"
 
         def shifted(value, digits):
-            return (value.cast(wide) * F.lit(10**digits).cast(wide)).cast(wide)
+            return (value.cast(wide) * F.lit("1" + "0" * digits).cast(wide)).cast(wide)
 
         return (shifted(ok * 10 + ln, 23) + shifted(pk, 11) + sk.cast(wide)).cast(wide)
 
