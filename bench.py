@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import time
 
 from tradeloom.catalog import REGISTRY
@@ -80,5 +81,62 @@ def main() -> None:
     )
 
 
+def compare() -> None:
+    """Spark against itself: the plans chosen here and the plain ones."""
+    from pyspark.sql import functions as F
+
+    from tradeloom.operators import graph, reports, rollups
+    from tradeloom.plans.staging import stage
+    from tradeloom.sources.market import Market
+    from tradeloom.streaming.jobs import rollup_tables
+    from tradeloom.plans.staging import new_folder
+
+    folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+    spark = build_session(
+        "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "16g"}
+    )
+    spark.sparkContext.setLogLevel("OFF")
+    m = Market(spark, folder)
+    orders, reviews, goods = stage(m.orders), stage(m.reviews), stage(m.goods)
+
+    def timed(run, times=3):
+        best = None
+        for _ in range(times + 1):
+            start = time.perf_counter()
+            run()
+            took = time.perf_counter() - start
+            best = took if best is None else min(best, took)
+        return round(best, 3)
+
+    def drain(df):
+        df.write.format("noop").mode("overwrite").save()
+
+    def all_pairs():
+        ends = goods.select("good_id", F.col("caty_id").alias("n")).unionByName(
+            goods.select("good_id", F.col("merch_id").alias("n"))
+        )
+        a, b = ends.select(F.col("good_id").alias("good1"), "n"), ends.select(F.col("good_id").alias("good2"), "n")
+        pairs = a.join(b, "n").where("good1 < good2").groupBy("good1", "good2").count()
+        drain(pairs.orderBy(F.desc("count"), "good1", "good2").limit(20))
+
+    order_events = stage(rollups.order_events(orders, goods))
+    review_events = stage(rollups.review_events(reviews, goods, orders))
+    keys = rollups.ROLLUP_KEYS["category"]
+    deltas = rollups.order_deltas(order_events).unionByName(rollups.review_deltas(review_events))
+    table = rollup_tables(spark, new_folder(spark, "compare"))["category"]
+    table.add(rollups.fold(deltas, keys), rollups.COUNTERS, 0)
+    late = deltas.where(F.col("date") >= F.lit("2001-07-01").cast("date"))
+    batch = iter(range(1, 100))
+    print(json.dumps({
+        "customer_stats_folded": timed(lambda: drain(reports.customer_stats(m.users, orders, reviews, k=None))),
+        "customer_stats_fan_out": timed(lambda: drain(reports.naive_customer_stats(m.users, orders, reviews))),
+        "common_neighbours_guarded": timed(lambda: drain(graph.common_neighbours(goods, 20))),
+        "common_neighbours_all_pairs": timed(all_pairs, 1),
+        "category_rollup_recomputed": timed(lambda: drain(rollups.rollup(order_events, review_events, "category"))),
+        "category_rollup_one_month_added": timed(lambda: table.add(rollups.fold(late, keys), rollups.COUNTERS, next(batch))),
+    }))
+    spark.stop()
+
+
 if __name__ == "__main__":
-    main()
+    compare() if sys.argv[1:] == ["--compare"] else main()
