@@ -37,7 +37,7 @@ def test_to_integer(spark):
     assert [r[0] for r in df.select(dialect.to_integer("v")).collect()] == [7, None, None, None, 7, 8]
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(seed=st.integers(0, 500))
 def test_mix_is_uniform_enough(spark, seed):
     counts = spark.range(4000).groupBy(F.pmod(mix("id", seed), F.lit(8)).alias("b")).count().collect()

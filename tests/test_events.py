@@ -193,6 +193,16 @@ def test_a_commit_that_stopped_before_its_log_is_invisible(spark, tmp_path):
     assert rows(table.read()) == [(1, "a")]
 
 
+def test_prune_keeps_what_is_current(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "u"), "k bigint, v string", ["k"], F.pmod("k", F.lit(2)))
+    for n in range(4):
+        table.upsert(spark.createDataFrame([(1, f"v{n}")] + [(2, "even")] * (n == 0), "k bigint, v string"), n)
+    # Version 0 still holds the even partition; 1 and 2 are replaced.
+    assert table.prune(keep=1) == 2
+    assert rows(table.read()) == [(1, "v3"), (2, "even")]
+    assert table.prune(keep=1) == 0
+
+
 def test_wide_partition_gets_several_writers(spark, tmp_path, monkeypatch):
     from tradeloom.plans import snapshots
 

@@ -170,15 +170,17 @@ def review_orders(reviews: DataFrame, orders: DataFrame) -> DataFrame:
     A good bought twice would repeat the review, so the latest order up to the
     review is taken (ties: larger id); ``order_id`` 0 when there is none.  The
     review key (user, good) is unique, so the join never fans out beyond the
-    orders, and ``max_by`` folds them before they are shuffled again.
+    orders.  The two folds use plain columns, which keeps both hash-based.
     """
     candidates = orders.select("user_id", "good_id", F.col("id").alias("order_id"), "order_ts")
     matched = (
         reviews.select("user_id", "good_id", "id", "review_ts")
         .join(candidates, ["user_id", "good_id"])
         .where(F.col("order_ts") <= F.col("review_ts"))
+        .groupBy("id", "order_ts")
+        .agg(F.max("order_id").alias("order_id"))
         .groupBy("id")
-        .agg(F.max_by("order_id", F.struct("order_ts", "order_id")).alias("order_id"))
+        .agg(F.max_by("order_id", "order_ts").alias("order_id"))
     )
     return reviews.join(matched, "id", "left").withColumn("order_id", F.coalesce("order_id", F.lit(0)))
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.plans.sizing import MIB, source_bytes
-from tradeloom.plans.staging import list_names, read_text, write_text
+from tradeloom.plans.staging import delete_folder, list_names, read_text, write_text
 
 # What one writer should take of one partition, and how many may run at most.
 FILE_ROWS = 2_000_000
@@ -97,6 +97,19 @@ class SnapshotTable:
         write_text(self.spark, f"{self.path}/log/{batch_id:020d}.json", json.dumps(current))
         return True
 
+    def prune(self, keep: int = 10) -> int:
+        """Delete versions that none of the last ``keep`` batches refers to.
+
+        Run it from the writer only, and keep as many batches as the slowest
+        reader may lag; returns the number of folders deleted.
+        """
+        names = list_names(self.spark, f"{self.path}/log")
+        live = {v for n in names[-keep:] for v in json.loads(read_text(self.spark, f"{self.path}/log/{n}")).values()}
+        dead = [v for v in list_names(self.spark, f"{self.path}/data") if v not in live]
+        for version in dead:
+            delete_folder(self.spark, f"{self.path}/data/{version}")
+        return len(dead)
+
     def upsert(self, batch: DataFrame, batch_id: int) -> bool:
         """Replace rows by key."""
         return self.commit(batch, lambda old, new: old.join(new, self.keys, "left_anti").unionByName(new), batch_id)

@@ -41,14 +41,19 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def list_names(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the visible files in a folder; none if it does not exist."""
+    """Names of the visible entries of a folder; none if it does not exist."""
     fs, target = _file_system(spark, folder)
     if not fs.exists(target):
         return []
-    names = (status.getPath().getName() for status in fs.listStatus(target))
+    names = [status.getPath().getName() for status in fs.listStatus(target)]
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, target = _file_system(spark, path)
     stream = fs.open(target)
