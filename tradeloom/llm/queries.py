@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import repeats, simhash
+from tradeloom.llm import decontamination, language, minhash, mixing, quality, repeats, sharding, simhash, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,7 +27,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@query("op5_repeated_passages")
+_PASSAGES_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w WHERE len(w) >= 50)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS least FROM p) WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM r),
+one AS (SELECT doc_id, j, w[j] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS j FROM w)),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS k, count(*) AS n FROM one ANTI JOIN gone USING (doc_id, j) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op5_repeated_passages", _PASSAGES_SQL)
 def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     kept = repeats.without_repeats(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -37,3 +52,61 @@ def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
 def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op1_hash_tree_shards")
+def hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_plan(table(spark, folder, "documents"))
+
+
+_CONTAINED_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+b AS (
+  SELECT item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
+ds AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+bs AS (
+  SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+q AS (SELECT item_id, count(*) AS q FROM bs GROUP BY 1)
+SELECT doc_id, item_id, q AS item_shingles, count(*) AS found, count(*)::DOUBLE / q AS containment
+FROM ds JOIN bs USING (s) JOIN q USING (item_id)
+GROUP BY doc_id, item_id, q HAVING count(*) >= ceil(q * 0.8::DOUBLE - 1e-9)"""
+
+
+@query("op6_benchmark_leaks", _CONTAINED_SQL)
+def benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op9_pivotal_mix")
+def pivotal_mix(spark: SparkSession, folder: str) -> DataFrame:
+    plan = mixing.copies(table(spark, folder, "documents"))
+    taken = F.col("copies") * F.col("size") + F.col("part")
+    return plan.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "copies", "part")
+
+
+@query("op8_minhash_fingerprints")
+def minhash_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    found = minhash.compared_with_next(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+    )
+
+
+@query("op2_language")
+def language_of_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identified(table(spark, folder, "documents"))
+
+
+@query("op7_url_verdicts")
+def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filters.judged(table(spark, folder, "pages"))
+
+
+@query("op4_quality")
+def document_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.judged(docs, quality.train(docs, table(spark, folder, "labels"))).drop("copy")

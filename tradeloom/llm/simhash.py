@@ -68,15 +68,18 @@ def text_fingerprints(texts: pa.Array, words: int = SHINGLE_WORDS) -> np.ndarray
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``(doc_id, fp)`` for every row; null and empty texts have fingerprint 0."""
+    """``(doc_id, copy, fp)`` for every row, ``copy`` the text's xxhash64; null and empty texts have fingerprint 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             fp = text_fingerprints(part.column("text"), words)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("copy"), pa.array(fp.view(np.int64))], names=["doc_id", "copy", "fp"]
+            )
 
-    plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.mapInArrow(run, "doc_id bigint, fp bigint")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("copy"), text.alias("text"))
+    return plain.mapInArrow(run, "doc_id bigint, copy bigint, fp bigint")
 
 
 def references(count: int = PIVOTS) -> np.ndarray:
@@ -212,6 +215,18 @@ def links(distinct: DataFrame, radius: int = RADIUS, cell_rows: int = CELL_ROWS)
         )
 
 
+def _grouped(docs: DataFrame, words: int, cell_rows: int) -> DataFrame:
+    """``(doc_id, copy, fp, first)``: ``first`` is the id and copy of the group's first row, rows without an id last."""
+    marked = stage(fingerprints(docs, words), "simhash")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("copy").alias("copy"))
+    groups = stage(marked.groupBy("fp").agg(F.min(row).alias("least")), "fps")
+    found = components(links(groups.select("fp"), cell_rows=cell_rows))
+    rooted = groups.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    named = rooted.join(smallest, "root").select("fp", "first")
+    return marked.join(named, "fp")
+
+
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, cell_rows: int = CELL_ROWS) -> DataFrame:
     """``(doc_id, fp, component_id)``: one row per row of ``docs``.
 
@@ -219,10 +234,13 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, cell_rows: int
     three differing bits.  Rows without a doc_id take part in linking; a
     component of such rows only has a null id.  An empty table gives no rows.
     """
-    marked = stage(fingerprints(docs, words), "simhash")
-    groups = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fps")
-    found = components(links(groups.select("fp"), cell_rows=cell_rows))
-    rooted = groups.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    return _grouped(docs, words, cell_rows).select("doc_id", "fp", F.col("first.id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """One row of every group of ``docs``: that with the smallest doc_id, of several such that with the smallest text hash."""
+    found = _grouped(docs, words, cell_rows)
+    keep = found.select(F.col("first.id").alias("_id"), F.col("first.copy").alias("_copy")).distinct()
+    rows = docs.withColumn("_text", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    chosen = rows.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_copy")), "left_semi")
+    return chosen.dropDuplicates(["doc_id", "_text"]).drop("_text")

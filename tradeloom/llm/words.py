@@ -20,6 +20,8 @@ SLICE_BYTES = 1 << 20
 _U = np.uint64
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
+_NO_LETTER = np.ones(256, dtype=bool)
+_NO_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -105,12 +107,12 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def find_words(texts: pa.Array, lower: bool = False) -> Words:
+def find_words(texts: pa.Array, lower: bool = False, separator: np.ndarray = _SEPARATOR) -> Words:
     """Words of every text; ``lower`` folds the letters A-Z only."""
     data, at = raw(texts)
     if lower:
         data = data + np.where((data >= 65) & (data <= 90), np.uint8(32), np.uint8(0))
-    inside = ~_SEPARATOR[data]
+    inside = ~separator[data]
     edge = at[:-1][at[:-1] < len(data)]
     before = np.zeros(len(data), dtype=bool)
     before[1:] = inside[:-1]
@@ -123,6 +125,27 @@ def find_words(texts: pa.Array, lower: bool = False) -> Words:
     return Words(data, start, end, np.searchsorted(start, at))
 
 
+def letter_runs(texts: pa.Array, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Hashes of the runs of letters, in lower case, and the first run of each text.
+
+    Bytes beyond ASCII count as letters.  For every length in ``prefixes`` also
+    the hashes of the first so many bytes; 0 where a run is not longer.
+    """
+    found = find_words(texts, lower=True, separator=_NO_LETTER)
+    values = _BYTES[0][found.data]
+    begins = []
+    for n in prefixes:
+        longer = found.end - found.start > n
+        end = np.where(longer, found.start + n, found.start)
+        begins.append(np.where(longer, _spans(values, _BYTE_POWERS[0], found.start, end), _U(0)))
+    return found.hashes(), found.first, begins
+
+
+def token_hashes(tokens: list[str]) -> np.ndarray:
+    """What ``letter_runs`` gives for single tokens."""
+    return letter_runs(pa.array(tokens, pa.string()))[0]
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that no piece but a single long row has over ``limit`` text bytes."""
     for batch in batches:
