@@ -27,12 +27,13 @@ class ReportCache:
         again; dropping a cached report is giving its input a new version.
         """
         tag = json.dumps([name, sorted(inputs.items())])
-        entry = f"{hashlib.sha256(tag.encode()).hexdigest()}.json"
-        if entry in list_names(self.spark, f"{self.path}/log"):
+        key = hashlib.sha256(tag.encode()).hexdigest()
+        for entry in reversed([n for n in list_names(self.spark, f"{self.path}/log") if n.startswith(key)]):
             known = json.loads(read_text(self.spark, f"{self.path}/log/{entry}"))
             if now - self.max_age_s < known["made_at"] <= now:
                 return self.spark.read.parquet(known["folder"]), "cache"
         folder = f"{self.path}/{uuid.uuid4().hex}"
         compute().write.parquet(folder)
-        write_text(self.spark, f"{self.path}/log/{entry}", json.dumps({"folder": folder, "made_at": now}))
+        name = f"{key}-{round(now * 1000):020d}-{uuid.uuid4().hex[:8]}.json"
+        write_text(self.spark, f"{self.path}/log/{name}", json.dumps({"folder": folder, "made_at": now}))
         return self.spark.read.parquet(folder), "fresh"

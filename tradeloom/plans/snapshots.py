@@ -4,11 +4,14 @@ Parquet has no MERGE.  A table here is a folder of partition versions and one
 small file per batch saying which version of each partition is current::
 
     <path>/data/<version>/part=<p>/...
-    <path>/log/<batch>.json       {partition: version}, complete
-
-A commit writes new versions of the partitions it touches and then its log
-file.  Readers of the old versions are not disturbed, a crash before the log
-file leaves no trace, and a batch committed once is skipped when replayed.
+    <path>/log/<number>.json      batch id and {partition: version}, complete
+
+A commit writes new versions of the partitions it touches and then the log file
+with the next number.  Readers of the old versions are not disturbed, a crash
+before the log file leaves no trace, and a batch committed once is skipped when
+replayed.  Of two writers that start from the same state one gets the number;
+the other fails and may try again.  Log files and versions that only older
+states need are deleted along the way.
 """
 
 from __future__ import annotations
@@ -28,6 +31,12 @@ from tradeloom.plans.staging import delete_folder, list_names, read_text, write_
 FILE_ROWS = 2_000_000
 FILE_BYTES = 128 * MIB
 MAX_WRITERS = 10_000
+# States that stay readable behind the current one.
+KEEP = 10
+
+
+class ConcurrentCommit(RuntimeError):
+    """Another writer committed first."""
 
 
 class SnapshotTable:
@@ -42,20 +51,20 @@ class SnapshotTable:
         self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, keys
         self.part = F.coalesce(part.cast("string"), F.lit("none"))
 
-    def _latest(self) -> tuple[int, dict[str, str]]:
-        """Last committed batch (-1: none) and the current version of each
-        partition."""
+    def _latest(self) -> tuple[int, int, dict[str, str]]:
+        """Number of the last commit and its batch (-1: none), and the current
+        version of each partition."""
         names = list_names(self.spark, f"{self.path}/log")
         if not names:
-            return -1, {}
-        newest = names[-1]
-        return int(newest.split(".")[0]), json.loads(read_text(self.spark, f"{self.path}/log/{newest}"))
+            return -1, -1, {}
+        state = json.loads(read_text(self.spark, f"{self.path}/log/{names[-1]}"))
+        return int(names[-1].split(".")[0]), state["batch"], state["versions"]
 
     def last_batch(self) -> int:
-        return self._latest()[0]
+        return self._latest()[1]
 
     def read(self) -> DataFrame:
-        return self._read(self._latest()[1])
+        return self._read(self._latest()[2])
 
     def _read(self, versions: dict[str, str]) -> DataFrame:
         if not versions:
@@ -73,7 +82,7 @@ class SnapshotTable:
 
     def commit(self, batch: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame], batch_id: int) -> bool:
         """Combine the touched partitions with ``batch``; False if seen before."""
-        last, current = self._latest()
+        number, last, current = self._latest()
         if batch_id <= last:
             return False
         labelled = batch.withColumn("part", self.part)
@@ -94,20 +103,30 @@ class SnapshotTable:
             writers = min(len(sizes) * spread, wanted, MAX_WRITERS)
             out.repartition(writers, "part", salt).write.partitionBy("part").parquet(f"{self.path}/data/{version}")
             current = {**current, **dict.fromkeys(sizes, version)}
-        write_text(self.spark, f"{self.path}/log/{batch_id:020d}.json", json.dumps(current))
+        state = json.dumps({"batch": batch_id, "versions": current})
+        if not write_text(self.spark, f"{self.path}/log/{number + 1:020d}.json", state):
+            raise ConcurrentCommit(f"{self.path}: commit {number + 1} was made by another writer")
+        if number % KEEP == 0:
+            self.prune()
         return True
 
-    def prune(self, keep: int = 10) -> int:
-        """Delete versions that none of the last ``keep`` batches refers to.
+    def prune(self, keep: int = KEEP) -> int:
+        """Delete all but the last ``keep`` log files, and versions none of them refers to.
 
-        Run it from the writer only, and keep as many batches as the slowest
-        reader may lag; returns the number of folders deleted.
+        Only versions older than the oldest kept state go, so what another
+        writer has begun is left alone; returns the number of folders deleted.
         """
         names = list_names(self.spark, f"{self.path}/log")
-        live = {v for n in names[-keep:] for v in json.loads(read_text(self.spark, f"{self.path}/log/{n}")).values()}
-        dead = [v for v in list_names(self.spark, f"{self.path}/data") if v not in live]
+        kept = [json.loads(read_text(self.spark, f"{self.path}/log/{n}")) for n in names[-keep:]]
+        if not kept:
+            return 0
+        live = {v for state in kept for v in state["versions"].values()}
+        oldest = min(state["batch"] for state in kept)
+        dead = [v for v in list_names(self.spark, f"{self.path}/data") if v not in live and int(v.split("-")[0]) < oldest]
         for version in dead:
             delete_folder(self.spark, f"{self.path}/data/{version}")
+        for name in names[:-keep]:
+            delete_folder(self.spark, f"{self.path}/log/{name}")
         return len(dead)
 
     def upsert(self, batch: DataFrame, batch_id: int) -> bool:

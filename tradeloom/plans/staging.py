@@ -6,11 +6,17 @@ computed twice go to the folder the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders made by this process; ``clean_scratch`` deletes them.
+_made: list[str] = []
+
 
 def scratch_root(spark: SparkSession) -> str:
     """Folder for staged tables; a temporary one only on a local master."""
@@ -25,7 +31,31 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(folder)
+    return folder
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete all folders that ``new_folder`` has given out; returns their number.
+
+    Results that read them must have been used or written by then.  It also
+    runs when the driver's Python ends while its session is still up.
+    """
+    done = 0
+    while _made:
+        delete_folder(spark, _made.pop())
+        done += 1
+    return done
+
+
+def _at_exit() -> None:
+    context = SparkContext._active_spark_context
+    if _made and context is not None and context._jsc is not None:
+        clean_scratch(SparkSession(context))
+
+
+atexit.register(_at_exit)
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -63,14 +93,25 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write one small file, all at once or not at all."""
-    folder, name = path.rsplit("/", 1)
+def write_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write one small new file, whole; False if the name is taken.
+
+    The text goes to a hidden file first and is then renamed without
+    overwriting, so of two writers one gets the name and no reader sees a part.
+    """
+    folder, _ = path.rsplit("/", 1)
     fs, hidden = _file_system(spark, f"{folder}/_{uuid.uuid4().hex}.tmp")
     out = fs.create(hidden)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    final = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
-    fs.delete(final, False)
-    if not fs.rename(hidden, final):
-        raise RuntimeError(f"could not write {path}")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.FileContext.getFileContext(hidden.toUri() if hidden.toUri().getScheme() else fs.getUri(), spark._jsc.hadoopConfiguration())
+    plain = spark._sc._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        files.rename(hidden, hadoop.Path(path), plain)
+    except Py4JJavaError as error:
+        fs.delete(hidden, False)
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
