@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tradeloom.llm.rows import kept, packed, text_hash, unpacked
 from tradeloom.plans.staging import stage
 
 SHINGLE_WORDS = 5
@@ -71,6 +72,14 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = SHINGLE_WORDS, c
     on either side match nothing.  Repeated rows give one result; texts under
     one doc_id are judged apart, and the better one counts.
     """
+    best = _found(docs, items, k, containment).groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("found") / F.col("q"), "q", "found")).alias("b"))
+    return best.select(
+        "doc_id", "item_id", F.col("b.q").alias("item_shingles"), F.col("b.found").alias("found"), (F.col("b.found") / F.col("b.q")).alias("containment")
+    )
+
+
+def _found(docs: DataFrame, items: DataFrame, k: int, containment: float) -> DataFrame:
+    """``(doc_id, copy, item, item_id, q, need, found)`` per text and item contained."""
     shingles = stage(item_shingles(items, k, containment), "items")
     shingle_rows = shingles.count()
     # By size partition: no sketch of it reaches above this hash.
@@ -80,7 +89,7 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = SHINGLE_WORDS, c
     highest = sketch.agg(F.max("limit")).first()[0]
     if highest is None:
         highest = -(2**63)
-    texts = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("copy"), _words(F.col("text")).alias("words"))
+    texts = docs.select("doc_id", text_hash().alias("copy"), _words(F.col("text")).alias("words"))
 
     probes = _shingles(texts, ["doc_id", "copy"], k).withColumn("shingles", F.greatest(F.size("words") - k + 1, F.lit(1)))
     hits = (
@@ -101,15 +110,11 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = SHINGLE_WORDS, c
         .agg(F.count(F.lit(1)).alias("found"))
         .where("found >= need")
     )
-    both = found.join(candidates.select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), F.col("item").alias("_item")),
-                      F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("copy") == F.col("_copy")) & (F.col("item") == F.col("_item")), "left_semi")
-    best = both.groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("found") / F.col("q"), "q", "found")).alias("b"))
-    return best.select(
-        "doc_id", "item_id", F.col("b.q").alias("item_shingles"), F.col("b.found").alias("found"), (F.col("b.found") / F.col("b.q")).alias("containment")
-    )
+    sought = candidates.select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), F.col("item").alias("_item"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("copy") == F.col("_copy")) & (F.col("item") == F.col("_item"))
+    return found.join(sought, same, "left_semi")
 
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that contain no benchmark item; null doc_ids are kept unless a null id was found."""
-    dirty = contained_items(docs, items).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    """Rows of ``docs`` that contain no benchmark item; of texts under one doc_id only those that do go."""
+    return unpacked(kept(packed(docs), _found(docs, items, SHINGLE_WORDS, CONTAINMENT), "left_anti"))

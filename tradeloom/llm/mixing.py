@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tradeloom.llm.rows import packed, text_hash, unpacked
 from tradeloom.llm.words import mix
 from tradeloom.plans.staging import stage
 
@@ -112,7 +113,7 @@ def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = S
         docs.select(
             "doc_id",
             F.col("source"),
-            F.xxhash64(text).alias("copy"),
+            text_hash().alias("copy"),
             F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
         ),
         "sizes",
@@ -174,6 +175,6 @@ def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SH
         .agg(F.sum(F.col("copies") + close).alias("_takes"))
         .where("_takes > 0")
     )
-    rows = docs.withColumn("_text", F.xxhash64(F.col("text").cast("string"))).dropDuplicates(["doc_id", "_text"])
-    joined = rows.join(takes, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_copy")))
-    return joined.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_takes").cast("int")))).select(*docs.columns)
+    rows = packed(docs).dropDuplicates(["doc_id", "copy"])
+    joined = rows.join(takes, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("copy") == F.col("_copy")))
+    return unpacked(joined.select("row", F.explode(F.sequence(F.lit(1), F.col("_takes").cast("int")))))

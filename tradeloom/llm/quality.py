@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradeloom.llm.rows import kept, packed, unpacked
 from tradeloom.llm.words import find_words, letter_runs, mix, slices, token_hashes
 from tradeloom.plans.staging import stage
 
@@ -347,6 +348,4 @@ def judged(docs: DataFrame, model: Model) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` that are kept."""
     verdicts = judged(docs, train(docs, labels))
-    dropped = verdicts.where("not keep").select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")).distinct()
-    marked = docs.withColumn("_text", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    return marked.join(dropped, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_copy")), "left_anti").drop("_text")
+    return unpacked(kept(packed(docs), verdicts.where("not keep"), "left_anti"))

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import decontamination, language, minhash, mixing, quality, repeats, sharding, simhash, url_filters
+from tradeloom.llm import decontamination, language, minhash, mixing, quality, repeats, sharding, simhash, token_counts, url_filters
+from tradeloom.plans.staging import new_folder, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +111,23 @@ def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
 def document_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return quality.judged(docs, quality.train(docs, table(spark, folder, "labels"))).drop("copy")
+
+
+@query("op3_token_totals")
+def token_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals of the different texts, as three batches leave them.
+
+    All documents come in with a count estimated from their bytes; the
+    tokenizer's counts then revise them; last, all but the first document of
+    equal texts are deleted.  Every batch is committed twice.
+    """
+    counted = stage(token_counts.with_tokens(table(spark, folder, "documents"), "byte_bpe_50k"), "counted")
+    guess = F.ceil(F.col("n_bytes") / 4)
+    first = counted.groupBy("copy").agg(F.min("doc_id").alias("first"))
+    copies = counted.join(first, "copy").where("doc_id > first")
+    totals = token_counts.TokenTotals(spark, new_folder(spark, "token-totals"))
+    batches = [token_counts.inserted(counted, guess), token_counts.revised(counted, guess, "tokens"), token_counts.deleted(copies)]
+    for number, changes in enumerate(batches):
+        for _ in range(2):
+            totals.commit(number, changes)
+    return totals.read()

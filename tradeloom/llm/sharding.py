@@ -81,9 +81,14 @@ def _weights(shards: int, weights: Sequence[float] | None) -> list[float]:
 
 
 def with_shard(rows: DataFrame, shards: int = SHARDS, weights: Sequence[float] | None = None, name: str = "shard") -> DataFrame:
-    """Add the shard of every row by its ``doc_id``; no shuffle.  Rows without an id share one key."""
+    """Add the shard of every row by its ``doc_id``; no shuffle.
+
+    Rows without an id share one key; a column of the same name is replaced.
+    """
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    return _descended(rows.withColumn("_key", key), "_key", _weights(shards, weights), name).drop("_key")
+    placed = _descended(rows.select(F.struct("*").alias("row"), key.alias("_key")), "_key", _weights(shards, weights), "_shard")
+    others = [F.col("row").getField(c).alias(c) for c in rows.columns if c.lower() != name.lower()]
+    return placed.select(*others, F.col("_shard").cast("int").alias(name))
 
 
 def shard_plan(docs: DataFrame, shards: int = SHARDS, weights: Sequence[float] | None = None) -> DataFrame:

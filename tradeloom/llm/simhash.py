@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.components import components
+from tradeloom.llm.rows import kept, packed, unpacked
 from tradeloom.llm.words import find_words, mix, run_hashes, shingle_ranges, slices
 from tradeloom.plans.staging import stage
 
@@ -273,7 +274,8 @@ def wide_text_fingerprints(texts: pa.Array, words: int = WIDE_WORDS) -> np.ndarr
     found = find_words(texts)
     start, end, bounds = shingle_ranges(found.first, words)
     hashes = run_hashes(found.hashes(), start, end)
-    lanes = [majority(mix(hashes + np.uint64(lane + 1) * np.uint64(0x9E3779B97F4A7C15)), bounds) for lane in range(LANES)]
+    offsets = np.arange(1, LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    lanes = [majority(mix(hashes + offset), bounds) for offset in offsets]
     return np.stack(lanes, axis=1)
 
 
@@ -381,7 +383,5 @@ def similar_groups(docs: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
 
 def one_of_each(docs: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
     """One row of every group of similar texts: that with the smallest doc_id, of several such that with the smallest text hash."""
-    keep = similar_groups(docs, cell_rows).select(F.col("first.id").alias("_id"), F.col("first.copy").alias("_copy")).distinct()
-    rows = docs.withColumn("_text", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    chosen = rows.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_copy")), "left_semi")
-    return chosen.dropDuplicates(["doc_id", "_text"]).drop("_text")
+    keep = similar_groups(docs, cell_rows).select(F.col("first.id").alias("doc_id"), F.col("first.copy").alias("copy"))
+    return unpacked(kept(packed(docs), keep).dropDuplicates(["doc_id", "copy"]))
