@@ -26,8 +26,11 @@ from tradeloom.llm.words import find_words, letter_runs, mix, slices, token_hash
 from tradeloom.plans.staging import stage
 
 SLOTS = 1 << 16
-# Texts the scorers are trained on: those with the smallest hash, of the ones people labelled if any.
-TRAIN_ROWS = 5_000
+# Texts the scorers are trained on: those with the smallest hashes of the ones people labelled, and of the others.
+TRAIN_ROWS = 4_000
+OTHER_ROWS = 1_500
+# Weight of the others, which heuristics alone have labelled.
+OTHER_WEIGHT = 0.3
 THRESHOLD = 0.4
 EM_ROUNDS = 100
 EPOCHS = 200
@@ -185,30 +188,33 @@ def _dot(weights: np.ndarray, slots: np.ndarray, values: np.ndarray, starts: np.
     return total[starts[1:]] - total[starts[:-1]]
 
 
-def telling(slots: np.ndarray, row: np.ndarray, target: np.ndarray) -> np.ndarray:
+def telling(slots: np.ndarray, row: np.ndarray, target: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """True for slots that good and bad texts have in clearly different shares."""
-    bad, n = target.sum(), len(target)
-    with_bad = np.bincount(slots, weights=target[row], minlength=SLOTS)
-    with_any = np.bincount(slots, minlength=SLOTS)
+    bad, n = (target * weight).sum(), weight.sum()
+    with_bad = np.bincount(slots, weights=(target * weight)[row], minlength=SLOTS)
+    with_any = np.bincount(slots, weights=weight[row], minlength=SLOTS)
     p = np.minimum((with_any + 1) / (n + 2), 1 - 1e-6)
     gap = with_bad / max(bad, 1e-9) - (with_any - with_bad) / max(n - bad, 1e-9)
     error = np.sqrt(p * (1 - p) * (1 / max(bad, 1e-9) + 1 / max(n - bad, 1e-9)))
     return np.abs(gap) >= LEAST_Z * error
 
 
-def fit_linear(slots: np.ndarray, values: np.ndarray, starts: np.ndarray, target: np.ndarray, epochs: int = EPOCHS) -> np.ndarray:
-    """Logistic regression on soft labels by full-batch AdaGrad; the last weight is the bias."""
+def fit_linear(
+    slots: np.ndarray, values: np.ndarray, starts: np.ndarray, target: np.ndarray, weight: np.ndarray, epochs: int = EPOCHS
+) -> np.ndarray:
+    """Logistic regression on weighted soft labels by full-batch AdaGrad; the last weight is the bias."""
     row = np.repeat(np.arange(len(target)), np.diff(starts))
-    told = telling(slots, row, target) | (np.bincount(slots[values != 1], minlength=SLOTS) >= len(target) // 100 + 1)
+    told = telling(slots, row, target, weight) | (np.bincount(slots[values != 1], minlength=SLOTS) >= len(target) // 100 + 1)
     use = told[slots]
     slots, values, row = slots[use], values[use], row[use]
     starts = np.searchsorted(row, np.arange(len(target) + 1))
     weights = np.zeros(SLOTS + 1)
     seen = np.full(SLOTS + 1, 1e-10)
-    balance = np.where(target > 0.5, min(0.5 / max((target > 0.5).mean(), 1e-3), 4.0), 1.0)
+    share = (weight * (target > 0.5)).sum() / max(weight.sum(), 1e-9)
+    balance = weight * np.where(target > 0.5, min(0.5 / max(share, 1e-3), 4.0), 1.0)
     for _ in range(epochs):
         p = 1 / (1 + np.exp(-np.clip(_dot(weights, slots, values, starts) + weights[-1], -30, 30)))
-        error = (p - target) * balance / max(len(target), 1)
+        error = (p - target) * balance / max(weight.sum(), 1e-9)
         slope = np.append(np.bincount(slots, weights=values * error[row], minlength=SLOTS), error.sum())
         slope[:-1] += 1e-4 * weights[:-1]
         seen += slope * slope
@@ -256,18 +262,19 @@ def _with_people(cast: DataFrame, labels: DataFrame) -> DataFrame:
         "copy",
         (F.col("junk") + junk * 3 ** len(JUNK)).alias("junk"),
         (F.col("toxic") + toxic * 3 ** len(TOXIC)).alias("toxic"),
-        (F.col("_id").isNotNull()).alias("asked"),
+        F.col("_id").isNotNull().alias("asked"),
     )
 
 
-def train(docs: DataFrame, labels: DataFrame | None = None, train_rows: int = TRAIN_ROWS) -> Model:
+def train(docs: DataFrame, labels: DataFrame | None = None, train_rows: int = TRAIN_ROWS, other_rows: int = OTHER_ROWS) -> Model:
     """Fit both label models on the votes of all rows, and the scorers on a sample.
 
-    ``labels (doc_id, quality, toxic)`` may cover any of the rows; the sample
-    is then drawn from those.
+    ``labels (doc_id, quality, toxic)`` may cover any of the rows; most of the
+    sample is drawn from those.  A text on which no labeller votes does not
+    count.
 
     The driver gets the counts of vote patterns (at most 3 to the number of
-    labellers) and the hashed features of ``train_rows`` different texts.
+    labellers) and the hashed features of ``train_rows + other_rows`` texts.
     """
     voted = vote_table(docs)
     cast = stage(voted.withColumn("asked", F.lit(True)).drop("doc_id") if labels is None else _with_people(voted, labels), "votes")
@@ -280,10 +287,9 @@ def train(docs: DataFrame, labels: DataFrame | None = None, train_rows: int = TR
         shares[question] = share
 
     # Texts with the smallest hashes: chosen on hashes alone, fetched after.
-    known = cast.where("asked")
-    if known.isEmpty():
-        known = cast
-    sample = known.groupBy("copy").agg(F.first("junk").alias("junk"), F.first("toxic").alias("toxic")).orderBy(F.xxhash64("copy", F.lit(5)), "copy").limit(train_rows)
+    each = stage(cast.groupBy("copy").agg(F.max(F.struct("asked", "junk", "toxic")).alias("v")).select("copy", "v.*"), "texts")
+    draw = [F.xxhash64("copy", F.lit(5)), "copy"]
+    sample = each.where("asked").orderBy(*draw).limit(train_rows).unionByName(each.where("not asked").orderBy(*draw).limit(other_rows))
     sample = stage(sample, "sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +301,7 @@ def train(docs: DataFrame, labels: DataFrame | None = None, train_rows: int = TR
                 names=["copy", "slots", "values"],
             )
 
-    # ``train_rows`` hashes at most.
+    # A stated number of hashes at most.
     texts = _rows(docs).select("copy", "text").join(F.broadcast(sample.select("copy")), "copy", "left_semi").dropDuplicates(["copy"])
     featured = texts.mapInArrow(run, "copy bigint, slots array<int>, values array<float>")
     made = featured.join(sample, "copy").orderBy("copy").toArrow()
@@ -310,7 +316,8 @@ def train(docs: DataFrame, labels: DataFrame | None = None, train_rows: int = TR
     weights = {}
     for question in ("junk", "toxic"):
         target = np.array([posterior[question][p] for p in column(question).to_pylist()])
-        weights[question] = fit_linear(slots, values, starts, target)
+        weight = np.where(np.asarray(column("asked").to_pylist()), 1.0, OTHER_WEIGHT) * (np.asarray(column(question)) > 0)
+        weights[question] = fit_linear(slots, values, starts, target, weight)
     return Model(weights["junk"], weights["toxic"], shares, posterior)
 
 
