@@ -31,8 +31,11 @@ def test_em_finds_accuracies_and_posteriors():
 WORDS = "the of and a thing other water house round small green walk under over light".split()
 
 
-def prose(rng, n=80):
-    return " ".join(rng.choice(WORDS) + rng.choice(["", "", "er", "ly", "s"]) for _ in range(n)).capitalize() + "."
+OTHER = "ein zwei drei haus baum wasser klein rund gehen unter licht ding weg".split()
+
+
+def prose(rng, n=80, words=WORDS):
+    return " ".join(rng.choice(words) + rng.choice(["", "", "er", "ly", "s"]) for _ in range(n)).capitalize() + "."
 
 
 def corpus():
@@ -49,8 +52,10 @@ def corpus():
             for w in ("stupid", "trash", "loser", "idiot"):
                 words.insert(rng.randrange(len(words)), w)
             text = " ".join(words)
-        elif kind == 4:  # insults that only people know
-            words = text.split()
+        elif kind == 5:
+            text = prose(rng, words=OTHER)
+        elif kind == 4:  # insults that only people know, in a language of which the lists know nothing
+            words = prose(rng, words=OTHER).split()
             for _ in range(4):
                 words.insert(rng.randrange(len(words)), "grobl" + rng.choice("aeiou") + rng.choice("klm"))
             text = " ".join(words)

@@ -17,14 +17,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tradeloom.llm.words import mix, raw, slices
 
 FEATURES = 4096
 CENTROIDS = 4
-# Training texts per language that are clustered: those with the smallest hash of the id.
+# Training texts per language that are clustered, drawn by a hash of the id.
 SAMPLE = 1000
 ROUNDS = 10
 # A text is rejected beyond this multiple of the distance that 99 % of a cluster's members keep.
@@ -135,10 +134,10 @@ def train(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Model:
     seen = np.array([counted.get(i, 0) for i in range(FEATURES)], dtype=np.float64)
     idf = (np.log((n + 1) / (seen + 1)) + 1).astype(np.float32)
 
-    # The sample is chosen on ids alone and its texts fetched after.
-    ids = rows.select("doc_id", "lang", F.xxhash64(F.col("doc_id"), F.lit(7)).alias("draw"))
-    chosen = ids.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy("draw", "doc_id"))).where(F.col("rank") <= sample)
-    picked = rows.join(chosen.select("doc_id", "lang").distinct(), ["doc_id", "lang"], "left_semi")
+    # A little more than the sample is drawn, by a hash of id and text; a language of few texts goes in whole.
+    rates = rows.groupBy("lang").agg((F.lit(1.2 * sample) / F.count(F.lit(1))).alias("rate"))
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    picked = rows.join(rates, "lang").where(draw < F.col("rate"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -148,7 +147,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Model:
             yield pa.RecordBatch.from_arrays([part.column("lang").take(pa.array(good)), part.column("doc_id").take(pa.array(good)), packed], names=["lang", "doc_id", "v"])
 
     def clusters(own: pd.DataFrame) -> pd.DataFrame:
-        own = own.sort_values("doc_id", kind="stable").head(sample)
+        own = own.sort_values(["doc_id", "v"], kind="stable").head(sample)
         c, radius = cluster(np.stack([np.frombuffer(x, dtype=np.float32) for x in own["v"]]), k)
         return pd.DataFrame({"lang": own["lang"].iloc[0], "v": [x.astype(np.float32).tobytes() for x in c], "radius": radius})
 
