@@ -18,7 +18,9 @@ class Entry:
     sql: str | None
 
     def __call__(self, spark: SparkSession, folder: str) -> DataFrame:
-        if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        # Checked, not changed: the session is the caller's.
+        if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC"):
+            spark = spark.newSession()
             spark.conf.set("spark.sql.session.timeZone", "UTC")
         return self.build(Market(spark, folder))
 
@@ -50,7 +52,8 @@ MARKET_SQL = {
              CAST(floor(sqrt(p_partkey)) AS BIGINT) % (SELECT count(*) FROM supplier) + 1000000000000 AS merch_id
       FROM part""",
     "lines": """
-      SELECT ((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS id,
+      SELECT CAST((l_orderkey * 10 + l_linenumber)::HUGEINT * 100000000000000000000000
+                  + l_partkey::HUGEINT * 100000000000 + l_suppkey AS DECIMAL(38,0)) AS id,
              o_custkey AS user_id, l_partkey AS good_id, o_orderdate AS order_ts,
              CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS price,
              l_returnflag, l_linenumber, CAST(floor((l_quantity - 1) / 10) AS BIGINT) + 1 AS rating, l_shipdate
@@ -99,6 +102,8 @@ def check_sql(uses: str, body: str, recursive: bool = False, **ctes: str) -> str
 
     for name in uses.split():
         need(name)
+    if body.lstrip().startswith("WITH"):
+        body = f"SELECT * FROM ({body})"
     parts = [f"{name} AS ({MARKET_SQL[name]})" for name in wanted]
     parts += [f"{name} AS ({text})" for name, text in ctes.items()]
     head = "WITH RECURSIVE " if recursive else "WITH "

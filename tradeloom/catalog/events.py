@@ -159,6 +159,36 @@ def _(m: Market):
     return windows.windowed_count(envelopes.timed(envelopes.rekey(records(m))))
 
 
+def _later(m: Market):
+    """The same records, received 90 seconds after what their envelopes say."""
+    return envelopes.rekey(records(m).withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 90 SECONDS")))
+
+
+@query(
+    "windowed_counts_by_record_time",
+    "S6",
+    _sql(
+        """SELECT key_type AS event_type, w AS window_start, w + 60000 AS window_end, count(*) AS event_count
+           FROM (SELECT key_type, epoch_us(date_trunc('minute', ts + INTERVAL 90 SECOND)) // 1000 AS w FROM r) GROUP BY 1, 2"""
+    ),
+)
+def _(m: Market):
+    return windows.windowed_count(envelopes.timed(_later(m)))
+
+
+@query(
+    "windowed_counts_by_envelope_time",
+    "S6",
+    _sql(
+        """SELECT key_type AS event_type, w AS window_start, w + 60000 AS window_end, count(*) AS event_count
+           FROM (SELECT key_type, epoch_us(date_trunc('minute', CASE WHEN event_id % 50 IN (2, 3, 4) THEN ts + INTERVAL 90 SECOND
+                                                                     ELSE ts END)) // 1000 AS w FROM r) GROUP BY 1, 2"""
+    ),
+)
+def _(m: Market):
+    return windows.windowed_count(envelopes.timed(_later(m), record_time=False))
+
+
 @query("streamed_windowed_counts", "S6 SNK3", _COUNTS)
 def _(m: Market):
     """The counts as the streaming job leaves them in its keyed table."""
@@ -183,7 +213,7 @@ def _(m: Market):
         F.col("event_id").alias("offset"),
         (F.unix_millis(F.col("ts").cast("timestamp")) - back).alias("ts_ms"),
     )
-    return windows.mark_late(replay, "ts_ms", chunk_rows=500).select("offset", "ts_ms", "stream_time", "late")
+    return windows.mark_late(replay, "ts_ms").select("offset", "ts_ms", "stream_time", "late")
 
 
 def _twice(m: Market):
@@ -224,9 +254,9 @@ def _(m: Market):
 )
 def _(m: Market):
     """Second reader of the topic: running counters per type."""
-    name = "type_counts_" + new_folder(m.spark, "q").rsplit("-", 1)[1]
-    jobs.count_types(read_events(m.spark, topic(m)), name).awaitTermination()
-    return m.spark.table(name)
+    target = new_folder(m.spark, "type-counts")
+    jobs.count_types(read_events(m.spark, topic(m)), target, new_folder(m.spark, "progress")).awaitTermination()
+    return jobs.type_table(m.spark, target).read()
 
 
 # ---------------------------------------------------------------- outbox

@@ -238,6 +238,11 @@ def _(m: Market):
     return _dated(_streamed(m, "category"))
 
 
+@query("streamed_merchant_stats", "S8", check_sql(_USES, _MERCHANT))
+def _(m: Market):
+    return _dated(_streamed(m, "merchant"))
+
+
 @query("streamed_product_stats", "S8", check_sql(_USES, _PRODUCT))
 def _(m: Market):
     return _streamed(m, "product")

@@ -114,6 +114,23 @@ def _(m: Market):
     return m.table("customer").select("c_custkey", F.md5("c_name").alias("digest"))
 
 
+@query(
+    "hash_buckets_spread",
+    "F8",
+    "SELECT count(*) AS total, 0::BIGINT AS outside, true AS even FROM customer",
+)
+def _(m: Market):
+    """All rows in buckets 0 to 15, and none of them far from its share (six standard deviations)."""
+    buckets = m.table("customer").groupBy(bucket_of("c_name", 16).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    share = F.sum("n") / 16
+    far = F.greatest(F.max("n") - share, share - F.min("n"))
+    return buckets.agg(
+        F.sum("n").alias("total"),
+        F.count_if(~F.col("bucket").between(0, 15)).alias("outside"),
+        (far <= 6 * F.sqrt(share) + 1).alias("even"),
+    )
+
+
 @query("hash_buckets", "F8")
 def _(m: Market):
     return m.table("customer").groupBy(bucket_of("c_name", 16).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))

@@ -1,7 +1,7 @@
 """Seeded, engine-portable pseudo-randomness.
 
-``rand()`` depends on the partitioning and on retries.  These are plain integer
-expressions: same key and seed, same value, on any number of partitions, after
+``rand()`` depends on the partitioning and on retries.  These are hashes of the
+key: same key and seed, same value, on any number of partitions, after
 any task is run again -- and any SQL engine can recompute them.
 """
 
@@ -12,17 +12,14 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.dialect import col
 
-# The Mersenne prime 2^31-1 and two multipliers used with it.
-PRIME = 2147483647
-MULT_A = 48271
-MULT_B = 69621
+# Hex digits of the hash that make a draw: 60 bits.
+_DIGITS = 15
 
 
 def mix(key: Column | str, seed: int = 0) -> Column:
-    """Value in ``[0, 2^31-1)`` scattered over whole-number keys."""
-    step = F.pmod(F.pmod(col(key).cast("bigint"), F.lit(PRIME)) * MULT_A + F.lit(seed * 7919 + 12345), F.lit(PRIME))
-    squared = F.pmod(step * step + F.lit(MULT_B), F.lit(PRIME))
-    return F.pmod(squared * MULT_B + F.pmod(col(key).cast("bigint"), F.lit(PRIME)), F.lit(PRIME))
+    """Value in ``[0, 2^60)`` scattered over keys of any type that has a text form."""
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), col(key).cast("string"))), 1, _DIGITS)
+    return F.conv(digits, 16, 10).cast("bigint")
 
 
 def pick(key: Column | str, n: Column | int, seed: int = 0) -> Column:
@@ -47,7 +44,4 @@ def bucket_of(key: Column | str, n: int) -> Column:
 
 def mix_sql(key: str, seed: int = 0) -> str:
     """The same value as SQL text, for checks in another engine."""
-    k = f"((({key})::BIGINT % {PRIME} + {PRIME}) % {PRIME})"
-    step = f"(({k} * {MULT_A} + {seed * 7919 + 12345}) % {PRIME})"
-    squared = f"(({step} * {step} + {MULT_B}) % {PRIME})"
-    return f"(({squared} * {MULT_B} + {k}) % {PRIME})"
+    return f"('0x' || substr(md5('{seed}:' || CAST(({key}) AS VARCHAR)), 1, {_DIGITS}))::BIGINT"

@@ -49,13 +49,14 @@ def lookup_nested(
     fields: list[str],
     name: str = "matches",
     page_size: int = 1000,
-    split: bool | None = None,
+    split: bool = True,
 ) -> DataFrame:
     """``left`` with its matches from ``right`` nested as an array.
 
-    A document with more than ``page_size`` matches continues on further rows
-    (``page`` 0, 1, ...), so no array grows with the data; one without matches
-    has page 0 and an empty array.  Every match is on exactly one page.
+    Rows are told apart by key and page: a document with more than
+    ``page_size`` matches continues on further rows (``page`` 0, 1, ...), so no
+    array grows with the data; one without matches has page 0 and an empty
+    array.  Every match is on exactly one page.
     """
     placed = row_index(right.select(key, order, *[f for f in fields if f != order]), [key], [order], "_pos", split=split)
     pages = (

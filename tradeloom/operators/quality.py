@@ -26,6 +26,9 @@ def check_violations(df: DataFrame, rule: Column) -> DataFrame:
     return df.where(~F.coalesce(rule, F.lit(True)))
 
 
+_NUMBER = r"^(tinyint|smallint|int|bigint|float|double|decimal\(.*)$"
+
+
 @dataclass(frozen=True)
 class Rule:
     """What a document field must satisfy; checks of absent fields are skipped,
@@ -51,7 +54,11 @@ class Rule:
         if self.required:
             add("required", value.isNull())
         if self.kind == "int":
-            add("type", value.isNotNull() & value.try_cast("bigint").isNull())
+            # A whole number, however it is stored: text and fractions are not.
+            whole = value.try_cast("decimal(38,9)")
+            add("type", value.isNotNull() & F.coalesce((whole != F.floor(whole)) | ~F.typeof(value).rlike(_NUMBER), F.lit(True)))
+        if self.kind == "string":
+            add("type", value.isNotNull() & (F.typeof(value) != "string"))
         # Compared as numbers, whatever type the field arrived with.
         number = value.try_cast("double") if self.minimum is not None or self.maximum is not None else None
         if self.minimum is not None:
@@ -71,7 +78,7 @@ class Rule:
 
 # The business rules of the two document collections.
 PRODUCT_RULES = [
-    Rule("name", required=True, min_length=1, max_length=500),
+    Rule("name", required=True, kind="string", min_length=1, max_length=500),
     Rule("merchant_id", required=True, kind="int", minimum=1),
     Rule("category_id", required=True, kind="int", minimum=1),
     Rule("good_id", kind="int", minimum=1),
@@ -80,7 +87,7 @@ REVIEW_RULES = [
     Rule("product_id", required=True, kind="int", minimum=1),
     Rule("user_id", required=True, kind="int", minimum=1),
     Rule("rating", required=True, kind="int", minimum=1, maximum=5),
-    Rule("comment", max_length=2000),
+    Rule("comment", kind="string", max_length=2000),
 ]
 
 

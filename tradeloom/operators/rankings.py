@@ -10,7 +10,6 @@ from tradeloom.functions.dialect import nulls_first, percent_half_up, ratio_half
 from tradeloom.functions.hashing import mix
 from tradeloom.operators.joins import customers, merchants
 from tradeloom.plans.ordered import rank_by_value, row_index, sliding_frame
-from tradeloom.plans.sizing import fits_one_task
 
 
 def merchant_ranks(users: DataFrame, goods: DataFrame, k: int | None = 10) -> DataFrame:
@@ -42,7 +41,7 @@ def goods_rank_in_category(
     return top_k(report, [F.col("category_name"), nulls_first("order_count"), F.col("good_id")], k)
 
 
-def order_sequence(users: DataFrame, orders: DataFrame, split: bool | None = None) -> DataFrame:
+def order_sequence(users: DataFrame, orders: DataFrame, split: bool = True) -> DataFrame:
     """Orders numbered per customer, with the customer's order count.
 
     Position and count come from the same partitioning: one exchange.
@@ -55,7 +54,7 @@ def order_sequence(users: DataFrame, orders: DataFrame, split: bool | None = Non
     )
 
 
-def moving_ratings(goods: DataFrame, reviews: DataFrame, rows: int = 3, split: bool | None = None) -> DataFrame:
+def moving_ratings(goods: DataFrame, reviews: DataFrame, rows: int = 3, split: bool = True) -> DataFrame:
     """Average of a good's last ``rows`` ratings, in review order."""
     rated = reviews.select("good_id", F.col("id").alias("review_id"), "rating")
     placed = row_index(rated, ["good_id"], ["review_id"], "_pos", split=split)
@@ -82,10 +81,7 @@ def category_share(categories: DataFrame, goods: DataFrame, orders: DataFrame) -
     counts = categories.join(per_category, "caty_id", "left").select(
         "caty_id", F.col("name").alias("category_name"), F.coalesce("_n", F.lit(0)).alias("order_count")
     )
-    if fits_one_task(categories):
-        everything = F.sum("order_count").over(W.partitionBy(F.lit(0)))
-    else:
-        everything = counts.select(F.sum("order_count")).scalar()
+    everything = counts.select(F.sum("order_count")).scalar()
     return counts.select(
         "*", percent_half_up("order_count", F.nullif(everything, F.lit(0))).alias("percentage_of_total_orders")
     )

@@ -1,10 +1,9 @@
 """Ordered computations that do not put one group into one task.
 
-A window ``PARTITION BY key`` sends every row of a key to the same task.  That
-is the best plan while the whole input fits one task; beyond that a key holding
-a third of the rows would stop the job.  Each function here checks the size and
-otherwise splits the ordered rows into ranges, numbers the ranges apart, and
-adds what came before each range.  Both plans give the same rows.
+A window ``PARTITION BY key`` sends every row of a key to the same task, so a
+key holding a third of the rows would stop the job.  Each function here splits
+the ordered rows into ranges, numbers the ranges apart, and adds what came
+before each range.
 """
 
 from __future__ import annotations
@@ -15,10 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tradeloom.plans.sizing import chunk_count, fits_one_task
+from tradeloom.plans.sizing import chunk_count
 from tradeloom.plans.staging import stage
 
 CHUNK = "_chunk"
+# Columns that only exist inside the functions here.
+_INNER = "_row_index_"
 
 
 def row_index(
@@ -27,15 +28,17 @@ def row_index(
     order: list[str | Column],
     number: str = "rn",
     total: str | None = None,
-    split: bool | None = None,
+    split: bool = True,
 ) -> DataFrame:
     """Add the 1-based position inside each key, and the key's row count.
 
     ``order`` must end in something unique.  With no ``keys`` the position is
-    global.  ``split=None`` decides by size.
+    global.  ``split=False`` is a plain window, for callers who know that no
+    key holds more rows than one task can sort; the data never decide.
     """
-    if split is None:
-        split = not fits_one_task(df)
+    clash = [c for c in df.columns if c.startswith(_INNER)]
+    if clash:
+        raise ValueError(f"column names beginning with {_INNER} are taken: {clash}")
     if not split:
         part = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
         out = df.withColumn(number, F.row_number().over(part.orderBy(*order)).cast("bigint"))
@@ -43,27 +46,28 @@ def row_index(
 
     # Stored before use: range bounds are sampled, so the chunk of a row must
     # be decided once and then only read.
+    chunk, count, before, everything = (f"{_INNER}{n}" for n in ("chunk", "n", "before", "total"))
     ranged = stage(
-        df.repartitionByRange(chunk_count(df), *keys, *order).withColumn(CHUNK, F.spark_partition_id()),
+        df.repartitionByRange(chunk_count(df), *keys, *order).withColumn(chunk, F.spark_partition_id()),
         "ranged",
     )
-    sizes = ranged.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = ranged.groupBy(*keys, chunk).agg(F.count(F.lit(1)).alias(count))
     # At most one row per chunk and key; a key spans few chunks unless it is hot.
     per_key = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
-    before = per_key.orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
+    earlier = per_key.orderBy(chunk).rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col(CHUNK).alias("_c"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        F.sum("_n").over(per_key).alias("_total"),
+        *[F.col(k).alias(f"{_INNER}k{i}") for i, k in enumerate(keys)],
+        F.col(chunk).alias(f"{_INNER}c"),
+        F.coalesce(F.sum(count).over(earlier), F.lit(0)).alias(before),
+        F.sum(count).over(per_key).alias(everything),
     )
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    joined = ranged.join(offsets, reduce(lambda a, b: a & b, same, F.col(CHUNK) == F.col("_c")))
-    local = F.row_number().over(W.partitionBy(CHUNK, *keys).orderBy(*order))
-    out = joined.withColumn(number, local + F.col("_before"))
+    same = [F.col(k).eqNullSafe(F.col(f"{_INNER}k{i}")) for i, k in enumerate(keys)]
+    joined = ranged.join(offsets, reduce(lambda a, b: a & b, same, F.col(chunk) == F.col(f"{_INNER}c")))
+    local = F.row_number().over(W.partitionBy(chunk, *keys).orderBy(*order))
+    out = joined.withColumn(number, local + F.col(before))
     if total:
-        out = out.withColumn(total, F.col("_total"))
-    return out.drop(CHUNK, "_c", "_before", "_total", *[f"_k{i}" for i in range(len(keys))])
+        out = out.withColumn(total, F.col(everything))
+    return out.drop(*[c for c in out.columns if c.startswith(_INNER)])
 
 
 def sliding_frame(

@@ -8,8 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 MIB = 1024 * 1024
-# Input that one task can sort (with spill) without holding up a stage.
-ONE_TASK_BYTES = 512 * MIB
 # Input per task that split plans aim for.
 CHUNK_BYTES = 256 * MIB
 MAX_CHUNKS = 100_000
@@ -23,15 +21,6 @@ def source_bytes(df: DataFrame) -> int:
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
-def one_task_limit(spark: SparkSession) -> int:
-    return int(spark.conf.get("tradeloom.oneTaskBytes", str(ONE_TASK_BYTES)))
-
-
-def fits_one_task(df: DataFrame) -> bool:
-    """True when even a single group holding every row would fit one task."""
-    return source_bytes(df) <= one_task_limit(df.sparkSession)
-
-
 def chunk_count(df: DataFrame) -> int:
     """Number of range partitions for a split plan over ``df``."""
     usual = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))

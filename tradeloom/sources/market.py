@@ -21,11 +21,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.plans.sizing import MIB, source_bytes
-
 # Declared, so that opening a table needs no job to read footers.
 TEST_SCHEMAS = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -43,7 +41,8 @@ TEST_SCHEMAS = {
 # Merchants share the user id space with customers; far above any customer key.
 MERCHANT_BASE = 10**12
 
-_narrow: dict[tuple[str, str], bool] = {}
+# 15 digits of order and line, 12 of part, 11 of supplier.
+ORDER_ID = "decimal(38,0)"
 
 
 @dataclass
@@ -52,7 +51,6 @@ class Market:
 
     spark: SparkSession
     folder: str
-    wide_ids: bool | None = None
     _read: dict[str, DataFrame] = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
@@ -97,37 +95,18 @@ class Market:
         heads = self.table("orders").where(F.col("o_orderstatus") == "F")
         return lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("id", self._order_id())
 
-    def _order_id(self):
+    def _order_id(self) -> Column:
         """One number per line: order, line, part and supplier keys side by side.
 
-        (order, line) alone repeats in the test tables.  While the keys are
-        small this fits a bigint; beyond that the same digits go in a decimal.
+        (order, line) alone repeats in the test tables, and the four keys need
+        more than 64 bits on large ones, so the id is a decimal at any size.
         """
-        ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
-        pk, sk = F.col("l_partkey"), F.col("l_suppkey")
-        if self._ids_fit_bigint():
-            return ((ok * 10 + ln) * 100000 + pk) * 10000 + sk
-        wide = "decimal(38,0)"
-
-        def shifted(value, digits):
-            return (value.cast(wide) * F.lit("1" + "0" * digits).cast(wide)).cast(wide)
-
-        return (shifted(ok * 10 + ln, 23) + shifted(pk, 11) + sk.cast(wide)).cast(wide)
-
-    def _ids_fit_bigint(self) -> bool:
-        if self.wide_ids is not None:
-            return not self.wide_ids
-        known = (self.spark.sparkContext.applicationId, self.folder)
-        if known not in _narrow:
-            # Large input is wide without looking; small input is looked at.
-            small = source_bytes(self.table("lineitem")) <= 64 * MIB
-            _narrow[known] = small and (
-                self.table("lineitem")
-                .select(F.max("l_partkey") < 100000, F.max("l_suppkey") < 10000, F.max("l_orderkey") < 900000000)
-                .first()
-                == (True, True, True)
-            )
-        return _narrow[known]
+
+        def shifted(value: Column, digits: int) -> Column:
+            return (value.cast(ORDER_ID) * F.lit("1" + "0" * digits).cast(ORDER_ID)).cast(ORDER_ID)
+
+        head = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+        return (shifted(head, 23) + shifted(F.col("l_partkey"), 11) + F.col("l_suppkey").cast(ORDER_ID)).cast(ORDER_ID)
 
     @cached_property
     def orders(self) -> DataFrame:

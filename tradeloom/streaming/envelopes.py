@@ -56,9 +56,9 @@ def rekey(records: DataFrame) -> DataFrame:
     return records.withColumn("key", group_key(F.col("value")))
 
 
-def timed(records: DataFrame, record_time: bool = False) -> DataFrame:
-    """Add ``event_ts``: the envelope's time, or the record's for bodies without
-    one (or for all of them, with ``record_time``)."""
+def timed(records: DataFrame, record_time: bool = True) -> DataFrame:
+    """Add ``event_ts``: the record's time; without ``record_time`` the
+    envelope's, and the record's only for bodies without one."""
     own = F.col("timestamp") if record_time else F.coalesce(event_time(F.col("value")), F.col("timestamp"))
     return records.withColumn("event_ts", own)
 

@@ -50,7 +50,7 @@ def count_table(spark: SparkSession, path: str) -> SnapshotTable:
 
 
 def count_events(
-    records: DataFrame, path: str, checkpoint: str, every: str | None = None, record_time: bool = False, **window: str
+    records: DataFrame, path: str, checkpoint: str, every: str | None = None, record_time: bool = True, **window: str
 ) -> StreamingQuery:
     """Topic -> one-minute counts per type -> keyed table, newest count wins."""
     table = count_table(records.sparkSession, path)
@@ -83,14 +83,17 @@ def audit_events(
     return start(records, _held(each), checkpoint, "append", every)
 
 
-def count_types(records: DataFrame, name: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Running counter per event type of the valid events, complete on every
-    batch.  The state is one row per type."""
+def type_table(spark: SparkSession, path: str) -> SnapshotTable:
+    """Table of running counts per event type, in hash buckets: the types are free text."""
+    bucket = F.pmod(F.xxhash64("event_type"), F.lit(16))
+    return SnapshotTable(spark, path, "event_type string, n bigint", ["event_type"], bucket)
+
+
+def count_types(records: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Running counter per event type of the valid events -> keyed table, newest count wins."""
+    table = type_table(records.sparkSession, path)
     counts = rekey(split_envelopes(records)[0]).groupBy(F.col("key").alias("event_type")).agg(F.count(F.lit(1)).alias("n"))
-    writer = counts.writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True)
-    if checkpoint:
-        writer = writer.option("checkpointLocation", checkpoint)
-    return writer.start()
+    return start(counts, _held(lambda batch, batch_id: table.upsert(batch, batch_id)), checkpoint, "update", every)
 
 
 def rollup_tables(spark: SparkSession, path: str) -> dict[str, SnapshotTable]:
@@ -135,7 +138,9 @@ def poll_outbox(outbox: DataFrame, table: SnapshotTable, sink: Callable[[DataFra
         return last
     # Bounded above, so rows arriving during the poll wait for the next one.
     sink(fresh.where(F.col("id") <= newest), batch_id)
-    table.upsert(outbox.sparkSession.createDataFrame([("outbox", newest)], "name string, last_id bigint"), batch_id)
+    mark = outbox.sparkSession.createDataFrame([("outbox", newest)], "name string, last_id bigint")
+    if not table.upsert(mark, batch_id):
+        raise ValueError(f"batch {batch_id} was used before; its rows were delivered again and the mark stays at {last}")
     return newest
 
 
