@@ -208,7 +208,7 @@ def common_purchases(bought: DataFrame, user1: int, user2: int) -> DataFrame:
 
 # Thresholds tried in turn; a level is used only when the ones above did not
 # give k pairs.  The last one admits every overlapping pair.
-_LEVELS = (0.9, 0.75, 0.6, 0.5, 0.34, 0.25, 0.15, 0.0)
+_LEVELS = (0.9, 0.75, 0.6, 0.5, 0.34, 0.25, 0.15, 0.08, 0.04, 0.02, 0.01, 0.0)
 
 
 def similar_merchants(goods: DataFrame, users: DataFrame, k: int = 10) -> DataFrame:
@@ -219,7 +219,8 @@ def similar_merchants(goods: DataFrame, users: DataFrame, k: int = 10) -> DataFr
     and come first; of each class only its first ``k + 1`` merchants can show.
     If they do not fill ``k``, classes are matched by prefix filtering: sets
     with similarity of at least t share one of their rarest categories, so only
-    those meet, never all sets with a common popular category.
+    those meet, never all sets with a common popular category.  Pairs without a
+    common category have similarity 0 and fill what is left of ``k``.
     """
     pairs = goods.select(F.col("merch_id").alias("user_id"), "caty_id").distinct()
     pairs = pairs.join(merchants(users).select("user_id"), "user_id", "left_semi")
@@ -236,7 +237,10 @@ def similar_merchants(goods: DataFrame, users: DataFrame, k: int = 10) -> DataFr
     if best.limit(k).count() < k:
         for level in _LEVELS:
             best_here = best.unionByName(_class_pairs(members, level, k))
-            if level == 0.0 or best_here.where(
+            if level == 0.0:
+                best = best_here.unionByName(_unlike_pairs(sets, best_here, k))
+                break
+            if best_here.where(
                 F.col("common_categories") >= F.col("total_categories") * level
             ).limit(k).count() >= k:
                 best = best_here
@@ -248,6 +252,24 @@ def similar_merchants(goods: DataFrame, users: DataFrame, k: int = 10) -> DataFr
     return top.join(names1, "user1").join(names2, "user2")
 
 
+def _unlike_pairs(sets: DataFrame, alike: DataFrame, k: int) -> DataFrame:
+    """The first ``k`` ordered pairs of merchants that are not in ``alike``.
+
+    ``alike`` holds all pairs with a common category and fewer than ``k`` of
+    them, so among the first ``2k + 1`` merchants there are enough others:
+    either these are all merchants, or the first of them has ``k`` partners.
+    """
+    first = sets.select("user_id", F.size("cats").cast("bigint").alias("n")).orderBy("user_id").limit(2 * k + 1)
+    partners = first.agg(F.collect_list(F.struct(F.col("user_id").alias("user2"), F.col("n").alias("n2"))))
+    pairs = first.select(F.col("user_id").alias("user1"), F.col("n").alias("n1"), F.explode(partners.scalar()).alias("p")).select("user1", "n1", "p.*")
+    unlike = pairs.where("user1 <> user2").join(alike.select("user1", "user2"), ["user1", "user2"], "left_anti")
+    return (
+        unlike.orderBy("user1", "user2")
+        .limit(k)
+        .select("user1", "user2", F.lit(0).cast("bigint").alias("common_categories"), (F.col("n1") + F.col("n2")).alias("total_categories"))
+    )
+
+
 def _class_pairs(members: DataFrame, level: float, k: int) -> DataFrame:
     """Ordered pairs of merchants of different classes with similarity >= level."""
     sets = members.select("cats", "n").distinct()
