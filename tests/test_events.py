@@ -114,7 +114,7 @@ def test_stream_drops_late_events(spark, tmp_path):
     spark.conf.set("spark.sql.streaming.statefulOperator.allowMultiple", "false")
     try:
         stream = read_events(spark, folder, files_per_batch=1)
-        query = jobs.count_events(stream, str(tmp_path / "t"), str(tmp_path / "c"))
+        query = jobs.count_events(stream, str(tmp_path / "t"), str(tmp_path / "c"), record_time=False)
         query.awaitTermination()
     finally:
         spark.conf.unset("spark.sql.streaming.statefulOperator.allowMultiple")
@@ -144,11 +144,11 @@ def test_two_readers_and_dead_letters(spark, tmp_path, cases):
     cases.write.json(folder)
     out, dead = str(tmp_path / "out"), str(tmp_path / "dead")
     jobs.audit_events(read_events(spark, folder), out, dead, str(tmp_path / "c1")).awaitTermination()
-    jobs.count_types(read_events(spark, folder), "types_seen", str(tmp_path / "c2")).awaitTermination()
+    jobs.count_types(read_events(spark, folder), str(tmp_path / "types"), str(tmp_path / "c2")).awaitTermination()
     valid = [i for i, (_, error, _) in enumerate(CASES) if error is None]
     assert spark.read.parquet(out).count() == len(valid)
     assert spark.read.json(dead).count() == len(CASES) - len(valid)
-    assert spark.table("types_seen").agg(F.sum("n")).first()[0] == len(valid)
+    assert jobs.type_table(spark, str(tmp_path / "types")).read().agg(F.sum("n")).first()[0] == len(valid)
 
 
 def deltas(spark, n, start=0):
@@ -203,6 +203,42 @@ def test_prune_keeps_what_is_current(spark, tmp_path):
     assert table.prune(keep=1) == 0
 
 
+def test_many_batches_keep_a_short_log(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "u"), "k bigint, v string", ["k"], F.lit("all"))
+    empty = spark.createDataFrame([], "k bigint, v string")
+    table.upsert(spark.createDataFrame([(1, "a")], "k bigint, v string"), 0)
+    for n in range(1, 60):
+        assert table.upsert(empty, n)
+    assert len(list((tmp_path / "u/log").glob("*.json"))) <= 21
+    assert table.last_batch() == 59 and rows(table.read()) == [(1, "a")]
+    assert not table.upsert(empty, 58)
+
+
+def test_of_two_writers_one_wins(spark, tmp_path):
+    from tradeloom.plans.snapshots import ConcurrentCommit
+
+    one = SnapshotTable(spark, str(tmp_path / "u"), "k bigint, v string", ["k"], F.lit("all"))
+    two = SnapshotTable(spark, str(tmp_path / "u"), "k bigint, v string", ["k"], F.lit("all"))
+    first = spark.createDataFrame([(1, "one")], "k bigint, v string")
+
+    def during(old, new):
+        two.upsert(spark.createDataFrame([(2, "two")], "k bigint, v string"), 5)
+        return old.unionByName(new)
+
+    with pytest.raises(ConcurrentCommit):
+        one.commit(first, during, 6)
+    assert rows(one.read()) == [(2, "two")]
+    assert one.upsert(first, 6) and rows(two.read()) == [(1, "one"), (2, "two")]
+
+
+def test_outbox_refuses_a_used_batch(spark, tmp_path):
+    marks = jobs.outbox_marks(spark, str(tmp_path / "marks"))
+    outbox = spark.range(1, 5).toDF("id")
+    assert jobs.poll_outbox(outbox, marks, lambda df, n: df.count(), 3) == 4
+    with pytest.raises(ValueError):
+        jobs.poll_outbox(spark.range(1, 9).toDF("id"), marks, lambda df, n: df.count(), 3)
+
+
 def test_wide_partition_gets_several_writers(spark, tmp_path, monkeypatch):
     from tradeloom.plans import snapshots
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_text, rows
-from tradeloom.plans import ordered, sizing
+from tradeloom.plans import ordered
 
 
 @pytest.fixture(scope="module")
@@ -70,17 +70,12 @@ def test_top_per_group_is_cut_before_the_shuffle(skewed):
     assert top.where("k = 1").count() == 2
 
 
-def test_size_decides(spark, skewed, tmp_path):
-    path = str(tmp_path / "t")
-    skewed.write.parquet(path)
-    stored = spark.read.parquet(path)
-    assert 0 < sizing.source_bytes(stored) < sizing.ONE_TASK_BYTES
-    assert sizing.fits_one_task(stored)
-    spark.conf.set("tradeloom.oneTaskBytes", "1")
-    try:
-        assert not sizing.fits_one_task(stored)
-        split = ordered.row_index(stored, ["k"], ["o"])
-        assert "_chunk" in plan_text(split)
-    finally:
-        spark.conf.unset("tradeloom.oneTaskBytes")
-    assert rows(split, "k", "o", "rn") == rows(ordered.row_index(stored, ["k"], ["o"]), "k", "o", "rn")
+def test_the_caller_decides_and_names_are_reserved(skewed):
+    split, plain = ordered.row_index(skewed, ["k"], ["o"]), ordered.row_index(skewed, ["k"], ["o"], split=False)
+    assert "_row_index_chunk" in plan_text(split) and "_row_index_" not in plan_text(plain)
+    assert rows(split, "k", "o", "rn") == rows(plain, "k", "o", "rn")
+    with pytest.raises(ValueError):
+        ordered.row_index(skewed.withColumn("_row_index_c", F.lit(1)), ["k"], ["o"])
+    # Names of this kind that the function used before belong to the caller.
+    named = ordered.row_index(skewed.withColumn("_c", F.lit(1)), ["k"], ["o"], number="_n")
+    assert {"_c", "_n"} <= set(named.columns)

@@ -3,10 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import plan_text, rows
 from tradeloom.catalog import REGISTRY
-from tradeloom.operators import rankings, reports
+from tradeloom.functions.hashing import mix, pick
+from tradeloom.operators import changes, documents, generate, joins, rankings, reports
+from tradeloom.plans import ordered
 from tradeloom.sources.market import Market
 
 FOLDER = "/root/testdata/sf0.001"
@@ -53,20 +56,33 @@ def test_merchant_filter_prunes_the_customer_table(market):
     assert "customer.parquet" not in plan
 
 
-def test_numbers_of_large_data_do_not_collide(spark):
-    """The wide order id agrees with the narrow one on which orders exist."""
-    narrow, wide = Market(spark, FOLDER, wide_ids=False), Market(spark, FOLDER, wide_ids=True)
-    assert narrow.orders.select("id").distinct().count() == wide.orders.select("id").distinct().count()
-    assert rows(reports.review_totals(narrow.reviews, "good_id")) == rows(reports.review_totals(wide.reviews, "good_id"))
+def test_order_ids_have_one_type_and_do_not_collide(spark):
+    orders = Market(spark, FOLDER).orders
+    assert dict(orders.dtypes)["id"] == "decimal(38,0)"
+    assert orders.select("id").distinct().count() == orders.count()
 
 
-@pytest.mark.parametrize("name", ["leaderboard", "order_sequence", "moving_ratings", "category_share", "nested_reviews", "enumerated_categories", "generated_orders"])
-def test_large_input_plans_give_the_same_rows(spark, name):
-    """Pretend that nothing fits one task: every split plan must agree."""
-    plain = rows(REGISTRY[name](spark, FOLDER))
-    spark.conf.set("tradeloom.oneTaskBytes", "1")
-    try:
-        split = rows(REGISTRY[name](spark, FOLDER))
-    finally:
-        spark.conf.unset("tradeloom.oneTaskBytes")
-    assert plain == split
+def test_draws_reach_all_of_a_large_pool(spark):
+    keys = spark.range(2000).select(F.explode(F.array("id", F.col("id") + 2147483647, F.col("id") + 2**40)).alias("k"))
+    drawn = keys.select(mix("k", 3).alias("m"), pick("k", 2**40, 5).alias("p")).agg(
+        F.count_distinct("m").alias("m"), F.max("p").alias("most"), F.min("p").alias("least"), F.avg("p").alias("mean")
+    ).first()
+    assert drawn.m == 6000
+    assert drawn.most > 2**39 * 1.99 and drawn.least < 2**30 * 2 and abs(drawn.mean / 2**39 - 1) < 0.05
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["leaderboard", "order_sequence", "moving_ratings", "nested_reviews", "enumerated_categories", "generated_orders", "generated_goods", "shuffled_customers"],
+)
+def test_plain_windows_give_the_same_rows(spark, monkeypatch, name):
+    """The registered queries use the split plan; a plain window must agree."""
+    split = rows(REGISTRY[name](spark, FOLDER))
+
+    def plain(df, keys, order, number="rn", total=None, split=True):
+        return ordered.row_index(df, keys, order, number, total, False)
+
+    for module in (rankings, documents, joins, generate, changes):
+        if hasattr(module, "row_index"):
+            monkeypatch.setattr(module, "row_index", plain)
+    assert rows(REGISTRY[name](spark, FOLDER)) == split

@@ -26,9 +26,6 @@ def check_violations(df: DataFrame, rule: Column) -> DataFrame:
     return df.where(~F.coalesce(rule, F.lit(True)))
 
 
-_NUMBER = r"^(tinyint|smallint|int|bigint|float|double|decimal\(.*)$"
-
-
 @dataclass(frozen=True)
 class Rule:
     """What a document field must satisfy; checks of absent fields are skipped,
@@ -54,9 +51,9 @@ class Rule:
         if self.required:
             add("required", value.isNull())
         if self.kind == "int":
-            # A whole number, however it is stored: text and fractions are not.
+            # A whole number, however it is stored.
             whole = value.try_cast("decimal(38,9)")
-            add("type", value.isNotNull() & F.coalesce((whole != F.floor(whole)) | ~F.typeof(value).rlike(_NUMBER), F.lit(True)))
+            add("type", value.isNotNull() & F.coalesce(whole != F.floor(whole), F.lit(True)))
         if self.kind == "string":
             add("type", value.isNotNull() & (F.typeof(value) != "string"))
         # Compared as numbers, whatever type the field arrived with.
