@@ -90,7 +90,7 @@ def anchors(words: Words, window: int = WINDOW) -> dict[str, np.ndarray]:
 
     ``text``: number of the text; ``core``, ``reach``: hashes; ``first``,
     ``last``: words of the text where the stretch's first and last windows
-    begin; ``at``: the anchor's word.
+    begin.
     """
     n = len(words)
     counts = words.counts
@@ -98,7 +98,7 @@ def anchors(words: Words, window: int = WINDOW) -> dict[str, np.ndarray]:
     hashes = words.hashes()
     starts_in = np.maximum(counts - window + 1, 0)
     if not starts_in.sum():
-        return {k: np.zeros(0, dtype=np.int64) for k in ("text", "core", "reach", "first", "last", "at")}
+        return {k: np.zeros(0, dtype=np.int64) for k in ("text", "core", "reach", "first", "last")}
     symbols, at = recompress(hashes, text)
     end = np.append(at[1:], n)
     begun = np.zeros(n + 1, dtype=np.int64)
@@ -128,7 +128,6 @@ def anchors(words: Words, window: int = WINDOW) -> dict[str, np.ndarray]:
         "reach": reach.view(np.int64),
         "first": first - base,
         "last": last - base,
-        "at": q - base,
     }
 
 
@@ -150,8 +149,8 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = pa.array(found["text"])
         yield pa.RecordBatch.from_arrays(
             [part.column("doc").take(of), part.column("copy").take(of), pa.array(found["core"]), pa.array(found["reach"])]
-            + [pa.array(found[k].astype(np.int32)) for k in ("first", "last", "at")],
-            names=["doc", "copy", "core", "reach", "first", "last", "at"],
+            + [pa.array(found[k].astype(np.int32)) for k in ("first", "last")],
+            names=["doc", "copy", "core", "reach", "first", "last"],
         )
 
 
@@ -163,7 +162,7 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inner = asked.flatten()
         of = np.repeat(np.arange(part.num_rows), np.diff(np.asarray(asked.offsets)))
         field = lambda k: inner.field(k).to_numpy(zero_copy_only=False)
-        first, last, at = field("first").astype(np.int64), field("last").astype(np.int64), field("at").astype(np.int64)
+        first, last = field("first").astype(np.int64), field("last").astype(np.int64)
         many = last - first + 1
         row = np.repeat(np.arange(len(of)), many)
         offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
@@ -173,13 +172,11 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 part.column("doc").take(pa.array(of[row])),
                 part.column("copy").take(pa.array(of[row])),
-                pa.array(field("core")[row]),
                 pa.array(start.astype(np.int32)),
-                pa.array((at[row] - start).astype(np.int32)),
                 pa.array(window_hashes(words, 0, begin).view(np.int64)),
                 pa.array(window_hashes(words, 1, begin).view(np.int64)),
             ],
-            names=["doc", "copy", "core", "start", "offset", "one", "two"],
+            names=["doc", "copy", "start", "one", "two"],
         )
 
 
@@ -193,32 +190,27 @@ def repeat_spans(docs: DataFrame) -> DataFrame:
     """
     texts = _identified(docs)
     found = stage(
-        texts.mapInArrow(_anchor_rows, "doc bigint, copy bigint, core bigint, reach bigint, first int, last int, at int"), "anchors"
+        texts.mapInArrow(_anchor_rows, "doc bigint, copy bigint, core bigint, reach bigint, first int, last int"), "anchors"
     )
-    variants = stage(
-        found.groupBy("core", "reach")
-        .agg(F.min("doc").alias("least"), F.max("doc").alias("most")),
-        "reaches",
-    )
-    cores = (
-        variants.groupBy("core")
-        .agg(F.min("least").alias("core_least"), F.max("most").alias("core_most"), F.count(F.lit(1)).alias("variants"))
-        .where("core_least < core_most")
-    )
-    shared = variants.join(cores, "core").select("core", "reach", "least", "variants")
-    placed = stage(found.join(shared, ["core", "reach"]).where("variants > 1 or least < doc"), "shared")
+    # Most cores are in one document only and go before anything else is compared.
+    cores = found.groupBy("core").agg(F.min("doc").alias("core_least"), F.max("doc").alias("core_most")).where("core_least < core_most")
+    met = stage(found.join(cores.select("core"), "core", "left_semi"), "met")
+    reaches = met.groupBy("core", "reach").agg(F.min("doc").alias("least"))
+    variants = reaches.groupBy("core").agg(F.count(F.lit(1)).alias("variants"))
+    placed = met.join(reaches, ["core", "reach"]).join(variants, "core").where("variants > 1 or least < doc")
+    placed = stage(placed.select("doc", "copy", "first", "last", "least", "variants"), "shared")
     whole = placed.where("least < doc").select("doc", "copy", "first", "last")
 
     # Of each reach its first document is open: an earlier one may share some windows under another reach.
     open_ = placed.where("doc = least and variants > 1")
-    asked = open_.groupBy("doc", "copy").agg(F.collect_list(F.struct("core", "first", "last", "at")).alias("asked"))
+    asked = open_.groupBy("doc", "copy").agg(F.collect_list(F.struct("first", "last")).alias("asked"))
     hashed = stage(
         texts.join(asked, ["doc", "copy"]).mapInArrow(
-            _window_rows, "doc bigint, copy bigint, core bigint, start int, offset int, one bigint, two bigint"
+            _window_rows, "doc bigint, copy bigint, start int, one bigint, two bigint"
         ),
         "windows",
     )
-    key = ["core", "offset", "one", "two"]
+    key = ["one", "two"]
     earlier = hashed.groupBy(*key).agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
     parts = hashed.join(earlier, key).where("least < doc").select("doc", "copy", F.col("start").alias("first"), F.col("start").alias("last"))
     return (
