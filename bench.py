@@ -43,6 +43,10 @@ HEADLINE = [
     "counter_rates",
     "merged_users",
     "generated_orders",
+    "similar_merchants_many",
+    "review_orders",
+    "cascade_after_customer_delete",
+    "streamed_windowed_counts",
 ]
 
 
