@@ -55,7 +55,47 @@ def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-@query("op1_hash_tree_shards")
+def _tree_sql(shards: int, rows: str, name: str) -> str:
+    """Descend the tree of equal weights: the child with the smallest draw at every node."""
+
+    def pick(level: str, weights: dict[int, float]) -> str:
+        if len(weights) == 1:
+            return str(next(iter(weights)))
+        draw = "-ln((('0x' || substr(md5('{0}{1}:' || key), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / {2}::DOUBLE"
+        children = ", ".join(f"{{'draw': {draw.format(level, n, w)}, 'child': {n}}}" for n, w in weights.items())
+        return f"list_sort([{children}])[1].child"
+
+    def by(chosen: str, picks: dict[int, str]) -> str:
+        return f"CASE {chosen} " + " ".join(f"WHEN {n} THEN {x}" for n, x in picks.items()) + " END"
+
+    regions = sharding.tree([1.0] * shards)
+    leaves = {r: {n: float(len(rack)) for n, rack in region.items()} for r, region in regions.items()}
+    region = pick("region", {r: sum(x.values()) for r, x in leaves.items()})
+    rack = by("region", {r: pick("rack", x) for r, x in leaves.items()})
+    shard = by("rack", {n: pick("shard", rack) for region in regions.values() for n, rack in region.items()})
+    steps = f"SELECT *, {rack} AS rack FROM (SELECT *, {region} AS region FROM {rows})"
+    return f"SELECT * EXCLUDE (region, rack), {shard} AS {name} FROM ({steps})"
+
+
+# CRC-32 byte by byte, with its table made by the rule.
+_SHARDS_SQL = f"""
+WITH t AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+b AS (
+  SELECT doc_id, CAST(coalesce(strlen(text), 0) + 1 AS BIGINT) AS size, coalesce(CAST(doc_id AS VARCHAR), '') AS key, text IS NULL AS none,
+         list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: ('0x' || x)::BIGINT) AS bytes FROM documents),
+c AS (
+  SELECT doc_id, size, key, CASE WHEN NOT none THEN xor(list_reduce(list_prepend(4294967295, bytes),
+           lambda c, x: xor(c >> 8, t[CAST(xor(c, x) & 255 AS BIGINT) + 1])), 4294967295) END AS text_crc32 FROM b, t),
+p AS ({_tree_sql(16, "c", "shard")}),
+g AS ({_tree_sql(17, "p", "grown_shard")})
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+       row_number() OVER (PARTITION BY shard ORDER BY substr(md5(key || ':' || size), 1, 2), doc_id, size, text_crc32) - 1 AS slot
+FROM g"""
+
+
+@query("op1_hash_tree_shards", _SHARDS_SQL)
 def hash_tree_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_plan(table(spark, folder, "documents"))
 
