@@ -144,6 +144,8 @@ def common_neighbours(goods: DataFrame, k: int = 20) -> DataFrame:
     """
     slim = goods.select("good_id", "name", "caty_id", "merch_id")
     double = _first_pairs(slim, ["caty_id", "merch_id"], k).withColumn("common_neighbours", F.lit(2).cast("bigint"))
+    # Written down: k rows for each of k goods at most, counted now and used below.
+    double = stage(double, "double")
     best = double
     if double.count() < k:
         single = None
@@ -342,21 +344,12 @@ def bought_together(bought: DataFrame, good_id: int, k: int | None = 5) -> DataF
 
 def cross_sell(graph: Graph, category: str, k: int | None = 10) -> DataFrame:
     """Other categories bought by the buyers of a category, by different buyers."""
-    inside = (
-        graph.categories.where(F.col("name") == category)
-        .select("caty_id")
-        .join(graph.in_category, "caty_id")
-        .select("good_id")
-    )
-    buyers = graph.bought.join(inside, "good_id", "left_semi").select("user_id").distinct()
+    named = graph.categories.select("caty_id", (F.col("name") == category).alias("_inside"))
+    placed = graph.bought.join(graph.in_category, "good_id").join(named, "caty_id")
+    # One list per user, with one entry per category at most.
+    buyers = placed.groupBy("user_id").agg(F.collect_set("caty_id").alias("_cats"), F.max("_inside").alias("_inside")).where("_inside")
     other = graph.categories.where(F.col("name") != category).select("caty_id", F.col("name").alias("category"))
-    seen = (
-        graph.bought.join(buyers, "user_id", "left_semi")
-        .join(graph.in_category, "good_id")
-        .select("caty_id", "user_id")
-        .distinct()
-    )
-    counts = seen.groupBy("caty_id").agg(F.count(F.lit(1)).alias("co_purchases"))
+    counts = buyers.select(F.explode("_cats").alias("caty_id")).groupBy("caty_id").agg(F.count(F.lit(1)).alias("co_purchases"))
     report = other.join(counts, "caty_id").select("caty_id", "category", "co_purchases")
     return report if k is None else report.orderBy(nulls_first("co_purchases"), "caty_id").limit(k)
 
