@@ -1,0 +1,60 @@
+"""Groups of the pipeline's near-dedup against the exact similarity of all pairs."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tests.llm.conftest import ODD, frame, sentence
+from tests.llm.test_simhash import groups
+from tradeloom.llm import similar, simhash
+
+
+def shingles(text):
+    w = (text or "").split()
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def of_similarity(rng, text, wanted):
+    """``text`` with words put behind it or with a changed stretch, so that the similarity is ``wanted`` or just above."""
+    words, own = text.split(), shingles(text)
+    best = None
+    for n in range(1, len(words)):
+        new = [f"n{rng.randrange(10**9)}" for _ in range(n)]
+        other = " ".join(words + new) if wanted != 0.82 else " ".join(words[:-n] + new)
+        if jaccard(own, shingles(other)) < wanted:
+            return best
+        best = other
+
+
+def want(texts):
+    return groups([shingles(t) for t in texts], lambda a, b: jaccard(a, b) >= 0.8)
+
+
+def found(spark, texts, cell_rows):
+    got = {r.doc_id: r["first"].id for r in simhash.similar_groups(frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts)]), cell_rows).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_no_pair_at_the_limit_is_missed(spark):
+    rng = random.Random(2)
+    base = [sentence(rng, rng.randrange(60, 300), 5000) for _ in range(150)]
+    texts = [t for b in base for t in (b, of_similarity(rng, b, 0.8))]
+    assert found(spark, texts, 4096) == [i - i % 2 for i in range(len(texts))]
+
+
+def test_filter_loses_no_similar_pair():
+    rng = random.Random(5)
+    base = [sentence(rng, n, 3000) for n in (1, 4, 5, 9, 40, 300, 2500)]
+    texts = [t for b in base for t in (b, of_similarity(rng, b, 0.8) or b, of_similarity(rng, b, 0.9) or b)] + [t or "" for _, t, _, _ in ODD]
+    hashes, bounds = similar.shingle_sets(pa.array(texts, pa.string()))
+    assert np.diff(bounds).tolist() == [len(shingles(t)) for t in texts]
+    bits, size = similar.parities(hashes, bounds), np.diff(bounds)
+    near = similar.may_be_similar(size[:, None], bits[:, None], size[None], bits[None])
+    sets = [shingles(t) for t in texts]
+    assert all(near[i, j] for i in range(len(sets)) for j in range(len(sets)) if jaccard(sets[i], sets[j]) >= 0.8)

@@ -21,9 +21,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradeloom.llm import similar
 from tradeloom.llm.components import components
 from tradeloom.llm.rows import kept, packed, unpacked
-from tradeloom.llm.words import find_words, mix, run_hashes, shingle_ranges, slices
+from tradeloom.llm.words import find_words, mix, shingle_ranges, slices
 from tradeloom.plans.staging import stage
 
 SHINGLE_WORDS = 3
@@ -36,15 +37,6 @@ _SEED = 42
 # Byte j of an entry is bit j of its index (little-endian, as the hashes' own bytes are read).
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").reshape(-1).view(np.uint64)
 
-# Wide fingerprints estimate similarity: 512 bits over five-word shingles.
-WIDE_WORDS = 5
-LANES = 8
-# Texts of Jaccard similarity 0.8 differ in 78 bits of 512, give or take 8.
-WIDE_RADIUS = 86
-# Cells of wide fingerprints: tables of sampled bits.
-TABLES = 96
-TABLE_BITS = 24
-
 
 def majority(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Per set ``hashes[bounds[i]:bounds[i+1]]`` the bits that over half of its hashes have; 0 for an empty set.
@@ -269,115 +261,19 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, cell_rows: int
     return _grouped(docs, words, cell_rows).select("doc_id", "fp", F.col("first.id").alias("component_id"))
 
 
-def wide_text_fingerprints(texts: pa.Array, words: int = WIDE_WORDS) -> np.ndarray:
-    """SimHash of ``LANES`` times 64 bits, a row per text."""
-    found = find_words(texts)
-    start, end, bounds = shingle_ranges(found.first, words)
-    hashes = run_hashes(found.hashes(), start, end)
-    offsets = np.arange(1, LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    lanes = [majority(mix(hashes + offset), bounds) for offset in offsets]
-    return np.stack(lanes, axis=1)
-
-
-def _sampled_bits() -> np.ndarray:
-    """Bit positions of every table, by a fixed rule."""
-    scattered = mix(np.arange(1, TABLES * 64 * LANES + 1, dtype=np.uint64)).reshape(TABLES, 64 * LANES)
-    return np.argsort(scattered, axis=1, kind="stable")[:, :TABLE_BITS]
-
-
-def cell_keys(fps: np.ndarray, level: int = 0) -> np.ndarray:
-    """Key of each fingerprint in every table: a hash of the table and its sampled bits."""
-    bits = np.unpackbits(np.ascontiguousarray(fps).view(np.uint8).reshape(len(fps), -1), axis=1, bitorder="little")
-    picked = (_sampled_bits() + 101 * level) % (64 * LANES)
-    keys = np.empty((len(fps), TABLES), dtype=np.uint64)
-    for t, at in enumerate(picked):
-        value = bits[:, at].astype(np.uint64) @ (np.uint64(1) << np.arange(TABLE_BITS, dtype=np.uint64))
-        keys[:, t] = mix(value + (np.uint64(level * TABLES + t + 1) << np.uint64(32)))
-    return keys
-
-
-def _unpacked(packed: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(packed.to_pylist()), dtype=np.uint64).reshape(-1, LANES)
-
-
-def wide_links(distinct: DataFrame, radius: int = WIDE_RADIUS, cell_rows: int = CELL_ROWS, levels: int = 3) -> DataFrame:
-    """Links ``(a, b)`` between the ids of ``distinct (id, wide)`` that connect those within ``radius`` bits.
-
-    Fingerprints meet in cells of 96 tables of 24 sampled bits: at similarity
-    0.85 one pair in 30 is missed, at 0.9 one in 1,000.  Cells with more than
-    ``cell_rows`` fingerprints are cut again on other bits, two times at most.
-    """
-
-    def keyed(level: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
-                    keys = cell_keys(_unpacked(part.column("wide")), level)
-                    if level:
-                        keys = mix(keys ^ part.column("cell").to_numpy().view(np.uint64)[:, None])
-                    ids = np.repeat(part.column("id").to_numpy(), TABLES)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(keys.reshape(-1).view(np.int64))], names=["id", "cell"])
-
-        return run
-
-    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            one, other = [], []
-            for members in batch.column("members"):
-                members = members.as_py()
-                ids = np.array([m["id"] for m in members], dtype=np.int64)
-                least = near_within(np.frombuffer(b"".join(m["wide"] for m in members), dtype=np.uint64).reshape(-1, LANES), radius)
-                moved = np.flatnonzero(least != np.arange(len(ids)))
-                one.append(ids[moved])
-                other.append(ids[least[moved]])
-            if one:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(one)), pa.array(np.concatenate(other))], names=["a", "b"])
-
-    source, out = distinct, None
-    for level in range(levels):
-        placed = source.mapInArrow(keyed(level), "id bigint, cell bigint")
-        # Two cells that were too large may send a pair to one finer cell twice.
-        cells = stage(placed.distinct() if level else placed, "wide-cells")
-        sizes = stage(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "wide-sizes")
-        last = level == levels - 1
-        small = sizes if last else sizes.where(F.col("n") <= cell_rows)
-        gathered = (
-            cells.join(small.select("cell"), "cell")
-            .join(distinct, "id")
-            .groupBy("cell")
-            .agg(F.sort_array(F.collect_list(F.struct("id", "wide"))).alias("members"))
-        )
-        found = gathered.select("members").mapInArrow(inside, "a bigint, b bigint")
-        out = found if out is None else out.unionByName(found)
-        if last or sizes.where(F.col("n") > cell_rows).isEmpty():
-            break
-        source = cells.join(sizes.where(F.col("n") > cell_rows).select("cell"), "cell").join(distinct, "id").select("id", "cell", "wide")
-    return out.distinct()
-
-
 def similar_groups(docs: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
     """``(doc_id, copy, first)``: every row with the first row of its group of texts of similarity 0.8 and more.
 
-    Similarity is that of the sets of five-word shingles as 512-bit SimHash
-    estimates it; groups are connected over similar pairs.  Rows without an id
-    come after all others; null and empty texts form one group.
+    Similarity is the exact Jaccard similarity of the sets of five-word
+    shingles, found by ``similar.links``; groups are connected over similar
+    pairs.  Rows without an id come after all others; null and empty texts form
+    one group.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            packed = [row.tobytes() for row in wide_text_fingerprints(part.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("copy"), pa.array(packed, pa.binary())], names=["doc_id", "copy", "wide"]
-            )
-
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("copy"), text.alias("text"))
-    marked = stage(
-        plain.mapInArrow(run, "doc_id bigint, copy bigint, wide binary").withColumn("id", F.xxhash64("wide")), "wide-simhash"
-    )
+    marked = stage(similar.marked(docs), "similar-marks")
     row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("copy").alias("copy"))
-    groups = stage(marked.groupBy("id").agg(F.min(row).alias("least"), F.first("wide").alias("wide")), "wide-fps")
-    found = components(wide_links(groups.select("id", "wide"), cell_rows=cell_rows))
+    same = [F.first(c).alias(c) for c in ("size", "bits", "prefix")]
+    groups = stage(marked.groupBy("id").agg(F.min(row).alias("least"), *same), "similar-nodes")
+    found = components(similar.links(docs, groups, cell_rows))
     rooted = groups.select("id", "least").join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("first"))
     return marked.select("doc_id", "copy", "id").join(rooted.join(smallest, "root").select("id", "first"), "id").select("doc_id", "copy", "first")
