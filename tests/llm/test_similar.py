@@ -58,3 +58,20 @@ def test_filter_loses_no_similar_pair():
     near = similar.may_be_similar(size[:, None], bits[:, None], size[None], bits[None])
     sets = [shingles(t) for t in texts]
     assert all(near[i, j] for i in range(len(sets)) for j in range(len(sets)) if jaccard(sets[i], sets[j]) >= 0.8)
+
+
+@pytest.mark.parametrize("cell_rows", [4096, 5])
+def test_hot_cells_lose_and_add_no_link(spark, cell_rows):
+    """A large family around the limit that all shares its rarest shingles, so all of it meets in the same cells."""
+    rng = random.Random(3)
+    base = sentence(rng, 200, 5000).split()
+    texts = []
+    for _ in range(80):
+        words = list(base)
+        for _ in range(rng.randrange(1, 7)):
+            words[rng.randrange(len(words))] = f"n{rng.randrange(10**9)}"
+        texts.append(" ".join(words))
+    rng.shuffle(texts)
+    expected = want(texts)
+    assert found(spark, texts, cell_rows) == expected
+    assert 1 < len(set(expected)) < 80
