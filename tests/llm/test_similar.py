@@ -75,3 +75,15 @@ def test_hot_cells_lose_and_add_no_link(spark, cell_rows):
     expected = want(texts)
     assert found(spark, texts, cell_rows) == expected
     assert 1 < len(set(expected)) < 80
+
+
+@pytest.mark.parametrize("cell_rows", [4096, 3])
+def test_groups_are_those_of_exact_similarity(spark, cell_rows):
+    rng = random.Random(8)
+    texts = []
+    for k in range(60):
+        base = sentence(rng, rng.randrange(60, 300), 5000)
+        texts += [base] + [of_similarity(rng, base, s) for s in (0.70, 0.78, 0.80, 0.82, 0.86)]
+    expected = want(texts)
+    assert found(spark, texts, cell_rows) == expected
+    assert len(set(expected)) > 60
