@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import decontamination, language, minhash, mixing, quality, repeats, sharding, simhash, token_counts, url_filters
+from tradeloom.llm import decontamination, infill, language, minhash, mixing, quality, repeats, sharding, simhash, token_counts, url_filters
 from tradeloom.plans.staging import new_folder, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,30 @@ def token_totals(spark: SparkSession, folder: str) -> DataFrame:
         for _ in range(2):
             totals.commit(number, changes)
     return totals.read()
+
+
+_INFILL_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
+r AS (
+  SELECT doc_id, t, u, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 50 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (
+  SELECT *, array_to_string(u[1:least(a, b)], '') AS pre, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS mid,
+         array_to_string(u[greatest(a, b) + 1:], '') AS suf FROM r)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p"""
+
+
+@query("op12_infill", _INFILL_SQL)
+def infilled_documents(spark: SparkSession, folder: str) -> DataFrame:
+    cut = infill.infilled(table(spark, folder, "documents"))
+    again = infill.restored(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(again, 256).alias("restored_sha256")
+    )
