@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 # Text bytes worked on at once; a longer single text is worked on alone.
 SLICE_BYTES = 1 << 20
@@ -34,36 +35,68 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+# A prime, so that sums of powers have no short relations (modulo 2^64 some simple sequences would be equal).
+_PRIME = (1 << 61) - 1
+_P = _U(_PRIME)
+_SEEDS = (_U(0x9E3779B97F4A7C15), _U(0xD1B54A32D192ED03))
+_BASES = (0x1F0A3C5E7B9D2468, 0x0B5F7D3A91C6E824)
+# Longer words are hashed one by one.
+_LONG = 256
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """Values below the prime for any 64-bit ones."""
+    x = (x & _P) + (x >> _U(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime, from halves of 30 and 31 bits."""
+    a_high, a_low = a >> _U(31), a & _U((1 << 31) - 1)
+    b_high, b_low = b >> _U(31), b & _U((1 << 31) - 1)
+    middle = a_low * b_high + a_high * b_low
+    return _fold(
+        _U(2) * a_high * b_high + (middle >> _U(30)) + ((middle & _U((1 << 30) - 1)) << _U(31)) + _fold(a_low * b_low)
+    )
+
+
 class _Powers:
-    """Powers of an odd base and of its inverse modulo 2^64, grown on demand."""
+    """Powers of a base and of its inverse modulo the prime, grown by doubling."""
 
     def __init__(self, base: int):
-        self.base = base
+        self.factors = {"up": base, "down": pow(base, -1, _PRIME)}
         self.up = np.ones(1, dtype=_U)
         self.down = np.ones(1, dtype=_U)
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > len(self.up):
-            size = max(n, 2 * len(self.up), 1 << 16)
-            inverse = pow(self.base, -1, 1 << 64)
-            for name, factor in (("up", self.base), ("down", inverse)):
-                values = np.full(size, factor, dtype=_U)
-                values[0] = 1
-                setattr(self, name, np.multiply.accumulate(values))
+        while n > len(self.up):
+            for name, factor in self.factors.items():
+                have = getattr(self, name)
+                next_ = _U(pow(factor, len(have), _PRIME))
+                setattr(self, name, np.concatenate([have, _times(have, next_)]))
         return self.up[:n], self.down[:n]
 
 
-_BYTES = [mix(np.arange(1, 257, dtype=_U) * _U(k)) for k in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)]
-_BYTE_POWERS = [_Powers(0x5851F42D4C957F2D), _Powers(0x2545F4914F6CDD1D)]
-_WORD_POWERS = [_Powers(0xA0761D6478BD642F), _Powers(0xE7037ED1A0B428DB)]
+_POWERS = [_Powers(base) for base in _BASES]
 
 
-def _spans(values: np.ndarray, powers: _Powers, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of ``values[start:end]`` for every pair, from one prefix sum."""
-    up, down = powers.upto(len(values) + 1)
-    prefix = np.zeros(len(values) + 1, dtype=_U)
-    np.cumsum(values * up[: len(values)], out=prefix[1:])
-    return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(_U))
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lane: int = 0) -> np.ndarray:
+    """Hash of the bytes ``data[start:end]`` for every pair: eight bytes at a time are mixed in."""
+    length = end - start
+    out = mix(length.astype(_U) + _SEEDS[lane])
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    octets = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    going = np.flatnonzero((length > 0) & (length <= _LONG))
+    done = 0
+    while len(going):
+        left = length[going] - done
+        unused = _U(8) * (_U(8) - np.minimum(left, 8).astype(_U))
+        chunk = octets[start[going] + done] & (~_U(0) >> unused)
+        out[going] = mix(out[going] * _SEEDS[1 - lane] ^ chunk)
+        going, done = going[left > 8], done + 8
+    for i in np.flatnonzero(length > _LONG).tolist():
+        out[i] = xxhash.xxh64_intdigest(data[start[i] : end[i]], int(_SEEDS[lane]))
+    return out
 
 
 @dataclass
@@ -83,7 +116,7 @@ class Words:
         return np.diff(self.first)
 
     def hashes(self, lane: int = 0) -> np.ndarray:
-        return _spans(_BYTES[lane][self.data], _BYTE_POWERS[lane], self.start, self.end)
+        return span_hashes(self.data, self.start, self.end, lane)
 
     def bytes_of(self, text: int) -> list[bytes]:
         a, b = self.first[text], self.first[text + 1]
@@ -93,8 +126,15 @@ class Words:
 
 
 def run_hashes(words: np.ndarray, start: np.ndarray, end: np.ndarray, lane: int = 0) -> np.ndarray:
-    """Hash of the word sequences ``words[start:end]``."""
-    return _spans(words, _WORD_POWERS[lane], start, end)
+    """Hash of the word sequences ``words[start:end]``: 61 bits a lane, from one prefix sum modulo a prime."""
+    up, down = _POWERS[lane].upto(len(words) + 1)
+    terms = _times(_fold(words), up[: len(words)])
+    # Halves are summed apart, so that no sum overflows.
+    high, low = np.zeros(len(words) + 1, dtype=_U), np.zeros(len(words) + 1, dtype=_U)
+    np.cumsum(terms >> _U(32), out=high[1:])
+    np.cumsum(terms & _U(0xFFFFFFFF), out=low[1:])
+    prefix = _fold(_times(_fold(high), np.full(1, 1 << 32, dtype=_U)) + _fold(low))
+    return mix(_times(_fold(prefix[end] + _P - prefix[start]), down[start]) ^ mix((end - start).astype(_U)))
 
 
 def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -132,12 +172,11 @@ def letter_runs(texts: pa.Array, prefixes: tuple[int, ...] = ()) -> tuple[np.nda
     the hashes of the first so many bytes; 0 where a run is not longer.
     """
     found = find_words(texts, lower=True, separator=_NO_LETTER)
-    values = _BYTES[0][found.data]
     begins = []
     for n in prefixes:
         longer = found.end - found.start > n
         end = np.where(longer, found.start + n, found.start)
-        begins.append(np.where(longer, _spans(values, _BYTE_POWERS[0], found.start, end), _U(0)))
+        begins.append(np.where(longer, span_hashes(found.data, found.start, end), _U(0)))
     return found.hashes(), found.first, begins
 
 
