@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import decontamination, infill, language, minhash, mixing, quality, repeats, sharding, simhash, token_counts, url_filters
+from tradeloom.llm import decontamination, infill, language, minhash, mixing, quality, repeated_lines, repeats, sharding, simhash, token_counts, url_filters
 from tradeloom.plans.staging import new_folder, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +198,19 @@ def infilled_documents(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select(
         "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(again, 256).alias("restored_sha256")
     )
+
+
+_LINES_SQL = r"""
+WITH l AS (
+  SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, generate_subscripts(s, 1) AS i, unnest(s) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents))),
+r AS (SELECT key, min(doc_id) AS least FROM l WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+m AS (SELECT doc_id, i, line, coalesce(least < doc_id, false) AS gone FROM l LEFT JOIN r USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id"""
+
+
+@query("op11_repeated_lines", _LINES_SQL)
+def repeated_line_texts(spark: SparkSession, folder: str) -> DataFrame:
+    kept = repeated_lines.without_repeated_lines(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
