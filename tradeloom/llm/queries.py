@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import decontamination, infill, language, minhash, mixing, quality, repeated_lines, repeats, sharding, simhash, token_counts, url_filters
+from tradeloom.llm import alignment, decontamination, infill, language, minhash, mixing, quality, repeated_lines, repeats, sharding, simhash, token_counts, url_filters
 from tradeloom.plans.staging import new_folder, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,3 +214,10 @@ FROM m GROUP BY doc_id"""
 def repeated_line_texts(spark: SparkSession, folder: str) -> DataFrame:
     kept = repeated_lines.without_repeated_lines(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op13_aligned_tokens")
+def aligned_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    found = alignment.aligned(table(spark, folder, "documents"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.withColumn("groups_sha256", digest).drop("groups")
