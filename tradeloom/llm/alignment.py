@@ -18,13 +18,15 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.words import slices
@@ -37,7 +39,6 @@ BLOCK_BYTES = 2 << 20
 # A longer run of white space is left to the slower library, which the fast one's pattern cannot match.
 BLANKS = 100_000
 _LONG_BLANK = re.compile(r"\s{%d}" % BLANKS)
-_PAIR_BITS = 32
 
 
 def _byte_letters() -> dict[str, int]:
@@ -47,6 +48,12 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def _sizes(names: dict[int, bytes]) -> np.ndarray:
+    out = np.zeros(max(names) + 1, dtype=np.int64)
+    out[list(names)] = [len(b) for b in names.values()]
+    return out
+
+
 class ByteTokens:
     """A byte-level BPE file: ids of texts without special tokens, and every id's bytes."""
 
@@ -66,6 +73,7 @@ class ByteTokens:
         pattern = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self.fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks={b: i for i, b in self.bytes.items()}, special_tokens={})
         self.slow = None
+        self.sizes = _sizes(self.bytes)
 
     def encode(self, text: str) -> list[int]:
         if not _LONG_BLANK.search(text):
@@ -89,6 +97,7 @@ class PieceTokens:
         for i in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(i)
             self.bytes[i] = bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode("utf-8")
+        self.sizes = _sizes(self.bytes)
 
     def encode(self, text: str) -> list[int]:
         return self.model.encode(text)
@@ -216,113 +225,141 @@ def group_texts(found: Aligned, a_ids: int, b_ids: int) -> list[str]:
     return ["".join(names[x:y])[:-1] for x, y in zip(bounds, bounds[1:])]
 
 
-def _sizes(names: dict[int, bytes]) -> np.ndarray:
-    out = np.zeros(max(names) + 1, dtype=np.int64)
-    out[list(names)] = [len(b) for b in names.values()]
-    return out
-
-
-def _lists(ids: list[list[int]]) -> pa.Array:
-    return pa.array([np.array(x, dtype=np.int32) for x in ids], pa.list_(pa.int32()))
+def _aligned(a: list[list[int]], b: list[list[int]], sizes: tuple[np.ndarray, np.ndarray]) -> Aligned:
+    flat = [np.fromiter(chain.from_iterable(x), dtype=np.int64, count=sum(map(len, x))) for x in (a, b)]
+    first = [np.concatenate([[0], np.cumsum([len(ids) for ids in x], dtype=np.int64)]) for x in (a, b)]
+    return align(*flat, *first, *sizes)
 
 
-def token_ids(docs: DataFrame, byte_vocabulary: str, piece_vocabulary: str) -> DataFrame:
-    """``(block, doc_id, a, b)``: both tokenizers' ids per row; none where their bytes are not the text's.
+def _packed(found: Aligned, b_ids: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Distinct pairs of a block in order, the links that hold each, and for every text the places of its own pairs among them.
 
-    Vocabularies are read where the tasks run: files that every machine has.
+    A pair is one number, ``a * b_ids + b``.  A text's places and how often it
+    has each are packed: first the steps from place to place, then the numbers.
+    """
+    text, i, j = found.links()
+    pair = found.a[i] * b_ids + found.b[j]
+    n = len(found.first_a) - 1
+    span = int(pair.max()) + 1 if len(pair) else 1
+    own, many = np.unique(text * span + pair, return_counts=True)
+    of, own = own // span, own % span
+    distinct = np.unique(own)
+    place = np.searchsorted(distinct, own)
+    total = np.bincount(place, weights=many, minlength=len(distinct)).astype(np.int64)
+    bounds = np.searchsorted(of, np.arange(n + 1)).tolist()
+    step = np.diff(place, prepend=0)
+    step[[x for x, y in zip(bounds, bounds[1:]) if x < y]] = place[[x for x, y in zip(bounds, bounds[1:]) if x < y]]
+    press = zstandard.ZstdCompressor(level=1).compress
+    both = [step.astype(np.uint32), many.astype(np.uint32)]
+    return distinct, total, [press(b"".join(x[low:high].tobytes() for x in both)) for low, high in zip(bounds, bounds[1:])]
+
+
+def _unpacked(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all texts the places of their pairs, how often they have them, and the first place of each text."""
+    open_ = zstandard.ZstdDecompressor().decompress
+    parts = [np.frombuffer(open_(x), dtype=np.uint32) for x in packed]
+    half = [len(x) // 2 for x in parts]
+    empty = [np.zeros(0, dtype=np.int64)]
+    place = np.concatenate(empty + [np.cumsum(x[:h], dtype=np.int64) for x, h in zip(parts, half)])
+    many = np.concatenate(empty + [x[h:].astype(np.int64) for x, h in zip(parts, half)])
+    return place, many, np.concatenate([[0], np.cumsum(half, dtype=np.int64)])
+
+
+def grouped(docs: DataFrame, byte_vocabulary: str = BYTE_VOCABULARY, piece_vocabulary: str = PIECE_VOCABULARY) -> DataFrame:
+    """``(block, doc_id, n_a, n_b, n_groups, n_links, groups, links, pairs, counts)``: a row per text, and one per block with its pairs.
+
+    Texts whose bytes either tokenizer does not give back have no tokens.  A
+    block's row has no ``groups``, a text's row no ``pairs``.  Vocabularies are
+    read where the tasks run: files that every machine has.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two, held, number = None, None, 0, 0
+        tools = []
+        held: list[tuple] = []
+        number, size = 0, 0
+
+        def flush() -> pa.RecordBatch:
+            block = (TaskContext.get().partitionId() << 32) + number
+            sizes = tuple(t.sizes for t in tools)
+            found = _aligned([x[1] for x in held], [x[2] for x in held], sizes)
+            distinct, total, links = _packed(found, len(sizes[1]))
+            n = [np.diff(found.first_a), np.diff(found.first_b), np.diff(found.cuts)]
+            n.append(n[0] + n[1] - n[2])
+            none = [None] * len(held)
+            columns = [
+                [block] * (len(held) + 1),
+                [x[0] for x in held] + [None],
+                *[[*x.tolist(), None] for x in n],
+                group_texts(found, *map(len, sizes)) + [None],
+                links + [None],
+                [*none, distinct],
+                [*none, total],
+            ]
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, _GROUPED.values())], names=list(_GROUPED))
+
         for part in slices(batches, limit=BLOCK_BYTES):
-            one, two = one or ByteTokens(byte_vocabulary), two or PieceTokens(piece_vocabulary)
-            a, b, block = [], [], []
-            for text in part.column("text").to_pylist():
-                ids_a, ids_b, want = [], [], b" " + text.encode("utf-8")
-                if text:
-                    ids_a, ids_b = one.encode(" " + text), two.encode(text)
-                    if b"".join([one.bytes[i] for i in ids_a]) != want or b"".join([two.bytes[i] for i in ids_b]) != want:
-                        ids_a, ids_b = [], []
-                size = max(len(want), 64)
-                if held and held + size > BLOCK_BYTES:
-                    held, number = 0, number + 1
-                held += size
-                a.append(ids_a)
-                b.append(ids_b)
-                block.append((TaskContext.get().partitionId() << 32) + number)
-            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), part.column("doc_id"), _lists(a), _lists(b)], names=["block", "doc_id", "a", "b"])
+            tools = tools or [ByteTokens(byte_vocabulary), PieceTokens(piece_vocabulary)]
+            for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
+                want = b" " + text.encode("utf-8")
+                own = [tools[0].encode(" " + text), tools[1].encode(text)] if text else [[], []]
+                if text and any(b"".join([t.bytes[i] for i in ids]) != want for t, ids in zip(tools, own)):
+                    own = [[], []]
+                if held and size + max(len(want), 64) > BLOCK_BYTES:
+                    yield flush()
+                    held, size, number = [], 0, number + 1
+                held.append((doc_id, *own))
+                size += max(len(want), 64)
+        if held:
+            yield flush()
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
-    return rows.mapInArrow(run, "block bigint, doc_id bigint, a array<int>, b array<int>")
+    numbers = ", ".join(f"{n} bigint" for n in ("n_a", "n_b", "n_groups", "n_links"))
+    return rows.mapInArrow(run, f"block bigint, doc_id bigint, {numbers}, groups string, links binary, pairs array<bigint>, counts array<bigint>")
 
 
-def _aligned(a: pa.Array, b: pa.Array, sizes: tuple[np.ndarray, np.ndarray]) -> Aligned:
-    flat, first = [], []
-    for x in (a, b):
-        flat.append(x.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
-        lengths = x.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        first.append(np.concatenate([[0], np.cumsum(lengths)]))
-    return align(*flat, *first, *sizes)
+_GROUPED = {n: pa.int64() for n in ("block", "doc_id", "n_a", "n_b", "n_groups", "n_links")}
+_GROUPED |= {"groups": pa.string(), "links": pa.binary(), "pairs": pa.list_(pa.int64()), "counts": pa.list_(pa.int64())}
 
 
-def aligned(docs: DataFrame, byte_vocabulary: str = BYTE_VOCABULARY, piece_vocabulary: str = PIECE_VOCABULARY) -> DataFrame:
+def aligned(
+    docs: DataFrame,
+    kept: Column | None = None,
+    byte_vocabulary: str = BYTE_VOCABULARY,
+    piece_vocabulary: str = PIECE_VOCABULARY,
+) -> DataFrame:
     """``(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups)`` per row.
 
-    ``groups`` lists the ids of each group, ``a1,a2|b1;a3|b2,b3``; ``count_sum``
-    adds the corpus-wide counts of the id pairs of all links, ``n_best`` counts
-    the links whose pair is the most frequent of its second id, ties included.
-    Null and empty texts, and texts that either tokenizer does not give back
-    byte by byte, have no tokens.  Repeated rows each count.  Null ids are
-    kept, other columns are not carried, an empty table gives no rows.
+    ``groups`` lists the ids of each group, ``a1,a2|b1;a3|b2,b3``; with
+    ``kept``, a column of text made from ``groups``, only that is stored and
+    returned.  ``count_sum`` adds the corpus-wide counts of the id pairs of all
+    links, ``n_best`` counts the links whose pair is the most frequent of its
+    second id, ties included.  Null and empty texts, and texts that either
+    tokenizer does not give back byte by byte, have no tokens.  Repeated rows
+    each count.  Null ids are kept, other columns are not carried, an empty
+    table gives no rows.
     """
-    one, two = ByteTokens(byte_vocabulary), PieceTokens(piece_vocabulary)
-    sizes = _sizes(one.bytes), _sizes(two.bytes)
-    tokens = stage(token_ids(docs, byte_vocabulary, piece_vocabulary), "token-ids")
-
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Distinct pairs of a run of rows of one block, with how many links hold each."""
-        for batch in batches:
-            blocks = batch.column("block").to_numpy()
-            edges = np.concatenate([[0], np.flatnonzero(np.diff(blocks)) + 1, [len(blocks)]]).tolist()
-            for low, high in zip(edges, edges[1:]):
-                if low < high:
-                    found = _aligned(batch.column("a").slice(low, high - low), batch.column("b").slice(low, high - low), sizes)
-                    _, i, j = found.links()
-                    pair, n = np.unique((found.a[i] << _PAIR_BITS) | found.b[j], return_counts=True)
-                    of = np.full(len(pair), blocks[low])
-                    yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(pair), pa.array(n.astype(np.int64))], names=["block", "pair", "n"])
-
-    met = stage(tokens.select("block", "a", "b").mapInArrow(linked, "block bigint, pair bigint, n bigint"), "token-pairs")
-    counts = met.groupBy("pair").agg(F.sum("n").alias("count")).withColumn("b", F.col("pair").bitwiseAND(F.lit((1 << _PAIR_BITS) - 1)))
+    told = grouped(docs, byte_vocabulary, piece_vocabulary)
+    told = stage(told.withColumn("groups", F.col("groups") if kept is None else F.when(F.col("groups").isNotNull(), kept)), "token-groups")
+    texts = told.where(F.col("pairs").isNull()).drop("pairs", "counts")
+    met = told.where(F.col("pairs").isNotNull()).select("block", F.explode(F.arrays_zip("pairs", "counts")).alias("p"))
+    met = met.select("block", F.col("p.pairs").alias("pair"), F.col("p.counts").alias("n"))
+    b_ids = len(PieceTokens(piece_vocabulary).sizes)
+    counts = met.groupBy("pair").agg(F.sum("n").alias("count")).withColumn("b", F.pmod("pair", F.lit(b_ids)))
     counts = stage(counts, "pair-counts")
     highest = counts.groupBy("b").agg(F.max("count").alias("highest"))
     judged = counts.join(highest, "b").select("pair", "count", (F.col("count") == F.col("highest")).alias("best"))
-    asked = met.select("block", "pair").distinct().join(judged, "pair")
-
-    def finish(texts: pa.Table, pairs: pa.Table) -> pa.Table:
-        a, b = (texts.column(c).combine_chunks() for c in ("a", "b"))
-        found = _aligned(a, b, sizes)
-        text, i, j = found.links()
-        known = pairs.column("pair").to_numpy()
-        order = np.argsort(known)
-        at = order[np.searchsorted(known, (found.a[i] << _PAIR_BITS) | found.b[j], sorter=order)] if len(i) else np.zeros(0, dtype=np.int64)
-        n = texts.num_rows
-        bounds = np.searchsorted(text, np.arange(n + 1))
-        total = lambda values: np.diff(np.concatenate([[0], np.cumsum(values, dtype=np.int64)])[bounds])
-        ones = [
-            np.diff(found.first_a),
-            np.diff(found.first_b),
-            np.diff(found.cuts),
-            np.diff(bounds),
-            total(pairs.column("best").to_numpy(zero_copy_only=False)[at]),
-            total(pairs.column("count").to_numpy()[at]),
-        ]
-        names = group_texts(found, len(sizes[0]), len(sizes[1]))
-        return pa.table(
-            [texts.column("doc_id"), *[pa.array(x.astype(np.int64)) for x in ones], pa.array(names, pa.string())],
-            names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"],
-        )
+    asked = met.select("block", "pair").join(judged, "pair")
+
+    def finish(own: pa.Table, pairs: pa.Table) -> pa.Table:
+        order = np.argsort(pairs.column("pair").to_numpy())
+        place, many, first = _unpacked(own.column("links").to_pylist())
+        sums = []
+        for name in ("best", "count"):
+            value = pairs.column(name).to_numpy().astype(np.int64)[order][place] * many
+            sums.append(pa.array(np.diff(np.concatenate([[0], np.cumsum(value)])[first])))
+        names = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
+        return pa.table([*[own.column(c) for c in names], *sums, own.column("groups")], names=[*names, "n_best", "count_sum", "groups"])
 
     schema = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups string"
-    return tokens.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(finish, schema)
+    return texts.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(finish, schema)

@@ -218,6 +218,6 @@ def repeated_line_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op13_aligned_tokens")
 def aligned_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    found = alignment.aligned(table(spark, folder, "documents"))
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
-    return found.withColumn("groups_sha256", digest).drop("groups")
+    found = alignment.aligned(table(spark, folder, "documents"), digest)
+    return found.withColumnRenamed("groups", "groups_sha256")
