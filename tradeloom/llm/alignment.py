@@ -349,7 +349,7 @@ def aligned(
     counts = stage(counts, "pair-counts")
     highest = counts.groupBy("b").agg(F.max("count").alias("highest"))
     judged = counts.join(highest, "b").select("pair", "count", (F.col("count") == F.col("highest")).alias("best"))
-    asked = met.select("block", "pair").join(judged, "pair")
+    asked = met.select(F.col("block").alias("of"), "pair").join(judged, "pair")
 
     def finish(own: pa.Table, pairs: pa.Table) -> pa.Table:
         order = np.argsort(pairs.column("pair").to_numpy())
@@ -362,4 +362,4 @@ def aligned(
         return pa.table([*[own.column(c) for c in names], *sums, own.column("groups")], names=[*names, "n_best", "count_sum", "groups"])
 
     schema = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups string"
-    return texts.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(finish, schema)
+    return texts.groupBy("block").cogroup(asked.groupBy("of")).applyInArrow(finish, schema)
