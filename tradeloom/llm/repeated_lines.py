@@ -21,6 +21,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradeloom.llm.skew import join_by_key
 from tradeloom.llm.words import mix, raw, slices, span_hashes
 from tradeloom.plans.staging import stage
 
@@ -33,8 +34,6 @@ BITS_PER_LINE = 16
 MOST_BITS = 1 << 29
 # Distinct hashes a task gathers before it hands on its filters.
 CHUNK = 1 << 20
-# A repeated key in more than this share of all suspect rows is sent to every task; there are at most 1,000.
-HOT_SHARE = 1 / 1000
 _NO_ID = 2**63 - 1
 _U = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
@@ -240,7 +239,7 @@ def without_repeated_lines(docs: DataFrame, most_bits: int = MOST_BITS) -> DataF
     rows = marked.select("doc", "copy", F.explode("keys").alias("key"))
     found = rows.groupBy("key").agg(F.min("doc").alias("least"), F.max("doc").alias("most"), F.count(F.lit(1)).alias("n"))
     repeated = stage(found.where("least < most").select("key", "least", "n"), "repeated-lines")
-    gone = _to_drop(rows, repeated)
+    gone = join_by_key(rows, repeated, ["key"], "n").where("least < doc")
     per_text = gone.groupBy("doc", "copy").agg(F.collect_set("key").alias("drop"))
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,18 +262,3 @@ def without_repeated_lines(docs: DataFrame, most_bits: int = MOST_BITS) -> DataF
     open_ = marked.where(F.size("keys") > 0).drop("keys").join(per_text, ["doc", "copy"], "left")
     changed = open_.select("doc", "n_lines", "text", "drop").mapInArrow(rewrite, "doc bigint, n_lines bigint, n_dropped bigint, kept string")
     return done.unionByName(changed).select(F.when(F.col("doc") < _NO_ID, F.col("doc")).alias("doc_id"), "n_lines", "n_dropped", "kept")
-
-
-def _to_drop(rows: DataFrame, repeated: DataFrame) -> DataFrame:
-    """``(doc, copy, key)`` to drop: of ``rows`` those whose key an earlier document holds.
-
-    Keys in more than a thousandth of all rows, of which there can be a thousand
-    at most, are sent to every task; the others meet in a join.
-    """
-    total = repeated.agg(F.sum("n")).first()[0] or 0
-    hot = repeated.where(F.col("n") > HOT_SHARE * total).select("key", F.col("least").alias("hot_least"))
-    cold = repeated.where(F.col("n") <= HOT_SHARE * total).select("key", "least")
-    sorted_out = rows.join(F.broadcast(hot), "key", "left")
-    at_once = sorted_out.where("hot_least < doc").select("doc", "copy", "key")
-    met = sorted_out.where("hot_least is null").select("doc", "copy", "key").join(cold, "key").where("least < doc").select("doc", "copy", "key")
-    return at_once.unionByName(met)
