@@ -80,3 +80,13 @@ def test_digest_of_the_query(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", F.col("text")).collect()}
     want = {i: k for i, _, _, k in by_force([(i, t, "", "") for i, t in docs.items()])}
     assert {r.doc_id: r.kept_sha256 for r in out.collect()} == {i: hashlib.sha256(k.encode()).hexdigest() for i, k in want.items()}
+
+
+def test_swapped_sequences_are_not_repeats(spark):
+    """Words of 1,024 characters and runs of 512 words whose swaps sums of powers modulo 2^64 confuse."""
+    swap = lambda n, a, b: [b if i.bit_count() % 2 else a for i in range(n)]
+    tail = sentence(random.Random(2), 49)
+    rows = [(1, "".join(swap(1024, "a", "b")) + " " + tail, "en", "a"), (2, "".join(swap(1024, "b", "a")) + " " + tail, "en", "a")]
+    rows += [(3, " ".join(swap(600, "x", "y")), "en", "a"), (4, " ".join(swap(600, "y", "x")), "en", "a")]
+    got = found(frame(spark, rows))
+    assert got == by_force(rows) and got[1][2] == 0

@@ -13,7 +13,8 @@ Anchors meet in Spark: first by the words around the symbol that every window
 choosing it contains (``core``), then by the full stretch of all windows that
 chose it (``reach``).  Equal reaches verify all their windows at once.  Where
 reaches of one core differ, the windows themselves are hashed and compared,
-once for each different reach.
+once for each different reach.  Equal stretches and windows are told by two
+hashes modulo a prime of 61 bits, with different bases.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradeloom.llm.skew import join_by_key
 from tradeloom.llm.words import Words, find_words, mix, run_hashes, slices
 from tradeloom.plans.staging import stage
 
@@ -88,9 +90,9 @@ def _range_least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.nd
 def anchors(words: Words, window: int = WINDOW) -> dict[str, np.ndarray]:
     """Anchors of all windows of the given texts, one row per stretch of windows.
 
-    ``text``: number of the text; ``core``, ``reach``: hashes; ``first``,
-    ``last``: words of the text where the stretch's first and last windows
-    begin.
+    ``text``: number of the text; ``core``: hash; ``reach``, ``reach2``: two
+    independent hashes of the stretch, 122 bits together; ``first``, ``last``:
+    words of the text where the stretch's first and last windows begin.
     """
     n = len(words)
     counts = words.counts
@@ -98,7 +100,7 @@ def anchors(words: Words, window: int = WINDOW) -> dict[str, np.ndarray]:
     hashes = words.hashes()
     starts_in = np.maximum(counts - window + 1, 0)
     if not starts_in.sum():
-        return {k: np.zeros(0, dtype=np.int64) for k in ("text", "core", "reach", "first", "last")}
+        return {k: np.zeros(0, dtype=np.int64) for k in ("text", "core", "reach", "reach2", "first", "last")}
     symbols, at = recompress(hashes, text)
     end = np.append(at[1:], n)
     begun = np.zeros(n + 1, dtype=np.int64)
@@ -119,13 +121,16 @@ def anchors(words: Words, window: int = WINDOW) -> dict[str, np.ndarray]:
     first, last = p[edge], p[np.append(edge[1:], len(p)) - 1]
     q, e = at[chosen[edge]], end[chosen[edge]]
     core = run_hashes(hashes, q - LOSS, e + LOSS)
-    reach = mix(run_hashes(hashes, first, last + window) ^ mix((q - first).astype(_U) + _U(1)))
+    inside = mix((q - first).astype(_U) + _U(1))
+    reach = mix(run_hashes(hashes, first, last + window) ^ inside)
+    reach2 = mix(run_hashes(words.hashes(1), first, last + window, 1) ^ inside)
     where = text[first]
     base = words.first[where]
     return {
         "text": where,
         "core": core.view(np.int64),
         "reach": reach.view(np.int64),
+        "reach2": reach2.view(np.int64),
         "first": first - base,
         "last": last - base,
     }
@@ -148,14 +153,14 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = anchors(find_words(part.column("text")))
         of = pa.array(found["text"])
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc").take(of), part.column("copy").take(of), pa.array(found["core"]), pa.array(found["reach"])]
+            [part.column("doc").take(of), part.column("copy").take(of), *[pa.array(found[k]) for k in ("core", "reach", "reach2")]]
             + [pa.array(found[k].astype(np.int32)) for k in ("first", "last")],
-            names=["doc", "copy", "core", "reach", "first", "last"],
+            names=["doc", "copy", "core", "reach", "reach2", "first", "last"],
         )
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of the windows of the asked stretches: two lanes, so 128 bits."""
+    """Hashes of the windows of the asked stretches: two lanes, so 122 bits."""
     for part in slices(batches):
         words = find_words(part.column("text"))
         asked = part.column("asked")
@@ -190,14 +195,17 @@ def repeat_spans(docs: DataFrame) -> DataFrame:
     """
     texts = _identified(docs)
     found = stage(
-        texts.mapInArrow(_anchor_rows, "doc bigint, copy bigint, core bigint, reach bigint, first int, last int"), "anchors"
+        texts.mapInArrow(_anchor_rows, "doc bigint, copy bigint, core bigint, reach bigint, reach2 bigint, first int, last int"), "anchors"
     )
     # Most cores are in one document only and go before anything else is compared.
-    cores = found.groupBy("core").agg(F.min("doc").alias("core_least"), F.max("doc").alias("core_most")).where("core_least < core_most")
-    met = stage(found.join(cores.select("core"), "core", "left_semi"), "met")
-    reaches = met.groupBy("core", "reach").agg(F.min("doc").alias("least"))
-    variants = reaches.groupBy("core").agg(F.count(F.lit(1)).alias("variants"))
-    placed = met.join(reaches, ["core", "reach"]).join(variants, "core").where("variants > 1 or least < doc")
+    rows = F.count(F.lit(1)).alias("n")
+    cores = found.groupBy("core").agg(F.min("doc").alias("core_least"), F.max("doc").alias("core_most"), rows).where("core_least < core_most")
+    met = stage(join_by_key(found, stage(cores.select("core", "n"), "cores"), ["core"], "n"), "met")
+    key = ["core", "reach", "reach2"]
+    reaches = stage(met.groupBy(*key).agg(F.min("doc").alias("least"), rows), "reaches")
+    variants = reaches.groupBy("core").agg(F.count(F.lit(1)).alias("variants")).withColumn("weight", F.col("variants"))
+    varied = stage(join_by_key(reaches, variants, ["core"], "weight"), "varied")
+    placed = join_by_key(met, varied, key, "n").where("variants > 1 or least < doc")
     placed = stage(placed.select("doc", "copy", "first", "last", "least", "variants"), "shared")
     whole = placed.where("least < doc").select("doc", "copy", "first", "last")
 
@@ -210,9 +218,9 @@ def repeat_spans(docs: DataFrame) -> DataFrame:
         ),
         "windows",
     )
-    key = ["one", "two"]
-    earlier = hashed.groupBy(*key).agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
-    parts = hashed.join(earlier, key).where("least < doc").select("doc", "copy", F.col("start").alias("first"), F.col("start").alias("last"))
+    pair = ["one", "two"]
+    earlier = hashed.groupBy(*pair).agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
+    parts = hashed.join(earlier, pair).where("least < doc").select("doc", "copy", F.col("start").alias("first"), F.col("start").alias("last"))
     return (
         whole.unionByName(parts)
         .distinct()
