@@ -114,7 +114,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Model:
     """Fit on rows with a language that are not held out.
 
     What reaches the driver is the model: one number per feature, and ``k``
-    vectors per language.
+    vectors per language.  Repeated rows count once in the clustered sample.
     """
     rows = docs.where(F.col("lang").isNotNull() & ~held_out()).select(
         F.col("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
@@ -135,9 +135,11 @@ def train(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Model:
     idf = (np.log((n + 1) / (seen + 1)) + 1).astype(np.float32)
 
     # A little more than the sample is drawn, by a hash of id and text; a language of few texts goes in whole.
+    # One rate a language goes to the tasks, as k vectors a language do later; texts that are not drawn stay where they are.
     rates = rows.groupBy("lang").agg((F.lit(1.2 * sample) / F.count(F.lit(1))).alias("rate"))
     draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    picked = rows.join(rates, "lang").where(draw < F.col("rate"))
+    drawn = rows.withColumn("draw", draw).join(F.broadcast(rates), "lang").where("draw < rate")
+    picked = drawn.select("doc_id", "lang", "text").dropDuplicates()
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
