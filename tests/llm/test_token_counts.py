@@ -2,7 +2,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from tests.llm.conftest import ODD
+from tests.llm.conftest import ODD, frame
 from tradeloom.llm import token_counts
 
 
@@ -46,6 +46,30 @@ def test_state_of_another_writer_is_kept(spark, odd, tmp_path):
     assert sum(d for d, _ in totals(one).values()) == 2 * len(ODD)
 
 
+def test_long_runs_of_blanks_have_the_librarys_tokens():
+    from tokenizers import Tokenizer
+
+    slow = Tokenizer.from_file("/opt/tokenizers/byte_bpe_50k.json")
+    one = token_counts.load_tokenizer()
+    blank = " " * 20_000
+    texts = [blank, f"a{blank}b", f"{blank}b", f"a b{blank}", f"a\n{blank}\tb c{blank}\u3000{blank}x", "a" + "\n" * 15_000 + "'s 12", " " * 1_000_000, "x" + " " * 1_000_000 + "y"]
+    assert [token_counts.encode(one, t) for t in texts] == [slow.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_one_row_of_equal_texts_stays(spark):
+    rows = [(1, "four words are here", "en", "a"), (1, "four words are here", "en", "a"), (None, "four words are here", "en", "a"), (2, "four words are here", "de", "b")]
+    rows += [(None, "no id", "en", "a")] * 3 + [(5, None, "en", "a"), (4, "", None, "a"), (6, "only one", None, None)]
+    counted = token_counts.with_tokens(frame(spark, rows), "v").cache()
+    left = counted.groupBy("source", "lang").agg(F.count(F.lit(1)).alias("d"), F.sum("tokens").alias("t"))
+    gone = token_counts.repeated(counted).groupBy("source", "lang").agg(F.sum("documents").alias("d"), F.sum("tokens").alias("t"))
+    total = {}
+    for r in [*left.collect(), *gone.collect()]:
+        d, t = total.get((r.source, r.lang), (0, 0))
+        total[(r.source, r.lang)] = (d + r.d, t + r.t)
+    size = lambda t: len(token_counts.load_tokenizer().encode_ordinary(t))
+    assert total == {("a", "en"): (2, size("four words are here") + size("no id")), ("b", "de"): (0, 0), ("a", None): (1, 0), (None, None): (1, size("only one"))}
+
+
 def test_query_gives_the_totals_of_different_texts(spark):
     from tradeloom.llm.queries import QUERIES
 

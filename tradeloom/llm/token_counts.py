@@ -9,6 +9,7 @@ its number makes it count once however often it is committed.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -26,6 +27,8 @@ MEASURES = ["documents", "tokens"]
 SCHEMA = "source string, lang string, tokenizer string, documents bigint, tokens bigint"
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 BUCKETS = 16
+# White space by Unicode, as the cutting pattern takes it, in runs that are cut out before.
+_LONG_BLANK = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 
 
 def load_tokenizer(vocabulary: str = VOCABULARY) -> tiktoken.Encoding:
@@ -40,17 +43,32 @@ def load_tokenizer(vocabulary: str = VOCABULARY) -> tiktoken.Encoding:
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def encode(tokenizer: tiktoken.Encoding, text: str) -> list[int]:
+    """Ids of a text whose runs of white space may be of any length.
+
+    The cutting pattern fails on runs near a million.  Before a word it takes
+    all but the last blank of a run as one piece, at the end the whole run; so
+    long runs are cut out here and given to the tokenizer as pieces.
+    """
+    out, done = [], 0
+    for run in _LONG_BLANK.finditer(text):
+        stop = run.end() - (run.end() < len(text))
+        out += tokenizer.encode_ordinary(text[done : run.start()]) + tokenizer._encode_single_piece(text[run.start() : stop])
+        done = stop
+    return out + tokenizer.encode_ordinary(text[done:])
+
+
 def with_tokens(docs: DataFrame, name: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """``(doc_id, source, lang, tokenizer, copy, n_bytes, tokens)`` per row; null texts have no tokens.
 
-    The vocabulary is read where the tasks run: a file that every machine has.
+    Repeated rows and rows without an id each count.  The vocabulary is read where the tasks run: a file that every machine has.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = None
+        tokenizer = None
         for part in slices(batches):
-            encode = encode or load_tokenizer(vocabulary).encode_ordinary
-            n = np.fromiter((len(encode(t)) for t in part.column("text").to_pylist()), dtype=np.int64, count=part.num_rows)
+            tokenizer = tokenizer or load_tokenizer(vocabulary)
+            n = np.fromiter((len(encode(tokenizer, t)) for t in part.column("text").to_pylist()), dtype=np.int64, count=part.num_rows)
             kept = [part.column(c) for c in ("doc_id", "source", "lang", "tokenizer", "copy", "n_bytes")]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(n)], names=["doc_id", "source", "lang", "tokenizer", "copy", "n_bytes", "tokens"])
 
@@ -78,6 +96,21 @@ def deleted(rows: DataFrame, tokens: Column | str = "tokens") -> DataFrame:
     return plus.select(*KEYS, *[(-F.col(m)).alias(m) for m in MEASURES])
 
 
+def repeated(rows: DataFrame) -> DataFrame:
+    """Changes that delete all but one row of equal ``copy``: the first by doc_id, source and language, nulls last.
+
+    Rows are folded to one a text, source and language before they meet, so a
+    text that a third of all rows have is a few rows.
+    """
+    last = lambda c: [F.col(c).isNull().alias(f"no_{c}"), F.col(c)]
+    folded = rows.groupBy("copy", *KEYS).agg(
+        F.count(F.lit(1)).alias("n"), F.min("tokens").alias("tokens"), F.min(F.struct(*last("doc_id"), *last("source"), *last("lang"))).alias("first")
+    )
+    kept = folded.groupBy("copy").agg(F.min("first").alias("kept"))
+    extra = folded.join(kept, "copy").withColumn("n", F.col("n") - F.when(F.col("first") == F.col("kept"), 1).otherwise(0))
+    return extra.where("n > 0").select(*KEYS, (-F.col("n")).alias("documents"), (-F.col("n") * F.col("tokens")).alias("tokens"))
+
+
 def revised(rows: DataFrame, before: Column | str, after: Column | str) -> DataFrame:
     """A new count for documents that are there already."""
     plus, minus = (F.col(c) if isinstance(c, str) else c for c in (after, before))
