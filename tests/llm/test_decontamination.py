@@ -8,18 +8,23 @@ from tests.llm.conftest import ODD, frame, sentence
 from tradeloom.llm import decontamination
 
 
-def shingles(text, k=5):
-    w = [x for x in re.split(r"[\W_]+", (text or "").lower()) if x]
-    return {" ".join(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+def words_of(text):
+    return [x for x in re.split(r"[\W_]+", (text or "").lower()) if x]
+
+
+def shingles(text, k):
+    w = words_of(text)
+    return {" ".join(w[i : i + k]) for i in range(len(w) - k + 1)}
 
 
 def by_force(docs, items):
     out = set()
     for i, t, _, _ in docs:
-        own = shingles(t)
+        own = {k: shingles(t, k) for k in range(1, 6)}
         for item, text in items:
-            q = shingles(text)
-            n = len(q & own)
+            k = max(1, min(5, len(words_of(text))))
+            q = shingles(text, k)
+            n = len(q & own[k])
             if q and n >= math.ceil(0.8 * len(q) - 1e-9):
                 out.add((i, item, len(q), n))
     return out
@@ -29,7 +34,7 @@ def by_force(docs, items):
 def test_finds_what_counting_finds(spark, monkeypatch, broadcast_rows):
     monkeypatch.setattr(decontamination, "BROADCAST_ROWS", broadcast_rows)
     rng = random.Random(2)
-    items = [(k, sentence(rng, rng.choice([1, 3, 5, 6, 12, 40, 70]), 300)) for k in range(40)] + [(99, None), (98, "")]
+    items = [(k, sentence(rng, rng.choice([1, 2, 3, 4, 5, 6, 12, 40, 70]), 300)) for k in range(40)] + [(99, None), (98, "")]
     docs = []
     for i in range(120):
         text = sentence(rng, rng.choice([0, 3, 50, 2000]), 300)
@@ -45,6 +50,15 @@ def test_finds_what_counting_finds(spark, monkeypatch, broadcast_rows):
     got = {(r.doc_id, r.item_id, r.item_shingles, r.found) for r in decontamination.contained_items(frame(spark, docs), table).collect()}
     want = by_force(docs, items)
     assert len(want) > 20 and got == want
+    assert {len(words_of(dict(items)[item])) for _, item, *_ in want} >= {1, 5, 6, 12}
+
+
+def test_items_of_one_to_six_words_inside_longer_texts(spark):
+    words = "alpha beta gamma delta epsilon zeta".split()
+    items = spark.createDataFrame([(n, " ".join(words[:n])) for n in range(1, 7)], "item_id bigint, text string")
+    docs = [(i, f"x y z {' '.join(words[: i + 1])} u v w q", "en", "a") for i in range(6)] + [(10, "beta gamma", "en", "a"), (11, "gamma beta alpha", "en", "a")]
+    got = {(r.doc_id, r.item_id) for r in decontamination.contained_items(frame(spark, docs), items).collect()}
+    assert got == {(i, n) for i in range(6) for n in range(1, i + 2)} | {(11, 1)}
 
 
 def test_odd_rows_and_clean_documents(spark, odd):

@@ -1,12 +1,15 @@
 """Benchmark items found inside documents of any length.
 
 Containment is the share of an item's distinct five-word shingles that a
-document has.  Items are split into partitions by size.  An item's sketch is
-its smallest shingle hashes (bottom-k MinHash), with k set by its size: an item
-of ``q`` shingles needs ``n = ceil(0.8 q)`` of them, so whatever document
-contains it has at least one of any ``q - n + 1``.  Documents are searched whole
-for sketch members that are small enough for the partition, which loses no
-document; candidates are verified by counting the item's shingles themselves.
+document has; an item of one to four words is one shingle, its whole word
+sequence, and is looked for as that wherever it stands.  Items are split into
+partitions by size.  An item's sketch is its smallest shingle hashes (bottom-k
+MinHash), with k set by its size: an item of ``q`` shingles needs ``n =
+ceil(0.8 q)`` of them, so whatever document contains it has at least one of any
+``q - n + 1``.  Documents are searched whole: a shingle is looked up if some
+partition of its length accepts it, having a sketch hash as high and an item
+that needs no more shingles than the document has.  This loses no document;
+candidates are verified by counting the item's shingles themselves.
 
 Only DataFrame functions are used.
 """
@@ -32,19 +35,20 @@ def _words(text: Column) -> Column:
     return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
 
 
-def _shingles(rows: DataFrame, keep: list[str], k: int) -> DataFrame:
-    """One row per shingle position: ``keep`` columns, the hash ``h`` and the words.
-
-    A text of fewer than ``k`` words has one shingle, the whole sequence.
-    """
+def _shingles(rows: DataFrame, keep: list[str], lengths: list[int]) -> DataFrame:
+    """One row per word position and length that fits: ``keep`` columns, ``length``, the hash ``h``, words and position ``i``."""
     n = F.size("words")
-    at = rows.where(n > 0).select(*keep, "words", F.explode(F.sequence(F.lit(0), F.greatest(n - k, F.lit(0)))).alias("i"))
-    # Missing words of a short text are null, which the hash passes over.
-    return at.withColumn("h", F.xxhash64(*[F.get("words", F.col("i") + j) for j in range(k)]))
+    at = rows.where(n >= min(lengths)).select(*keep, "words", F.explode(F.sequence(F.lit(0), n - min(lengths))).alias("i"))
+    hashes = {k: F.xxhash64(*[F.get("words", F.col("i") + j) for j in range(k)]) for k in lengths}
+    if len(lengths) == 1:
+        return at.withColumn("length", F.lit(lengths[0])).withColumn("h", hashes[lengths[0]])
+    fits = [F.when(F.col("i") + k <= n, F.struct(F.lit(k).alias("length"), h.alias("h"))) for k, h in hashes.items()]
+    each = at.withColumn("_s", F.explode(F.array_compact(F.array(*fits))))
+    return each.select(*keep, "words", "i", "_s.length", "_s.h")
 
 
-def _text_of(k: int) -> Column:
-    return F.concat_ws(" ", *[F.get("words", F.col("i") + j) for j in range(k)])
+def _text_of() -> Column:
+    return F.array_join(F.slice("words", F.col("i") + 1, F.col("length")), " ")
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -52,9 +56,14 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def item_shingles(items: DataFrame, k: int = SHINGLE_WORDS, containment: float = CONTAINMENT) -> DataFrame:
-    """Distinct shingles of every item with the item's size partition, need, and sketch membership."""
+    """Distinct shingles of every item with the item's size partition, need, and sketch membership.
+
+    An item of fewer than ``k`` words has one shingle of their number.
+    """
     plain = items.select("item_id", F.xxhash64(F.col("item_id"), F.col("text").cast("string")).alias("item"), _words(F.col("text")).alias("words"))
-    each = _shingles(plain, ["item_id", "item"], k).select("item_id", "item", "h", _text_of(k).alias("shingle")).distinct()
+    own = F.least(F.size("words"), F.lit(k))
+    sized = _shingles(plain, ["item_id", "item"], list(range(1, k + 1))).where(F.col("length") == own)
+    each = sized.select("item_id", "item", "length", "h", _text_of().alias("shingle")).distinct()
     own = W.partitionBy("item")
     counted = each.withColumn("q", F.count(F.lit(1)).over(own))
     need = F.ceil(F.col("q") * F.lit(containment) - F.lit(1e-9)).cast("bigint")
@@ -68,9 +77,10 @@ def item_shingles(items: DataFrame, k: int = SHINGLE_WORDS, containment: float =
 def contained_items(docs: DataFrame, items: DataFrame, k: int = SHINGLE_WORDS, containment: float = CONTAINMENT) -> DataFrame:
     """``(doc_id, item_id, item_shingles, found, containment)`` for every document that has at least that share of an item.
 
-    Words are compared in lower case without punctuation.  Null and empty texts
-    on either side match nothing.  Repeated rows give one result; texts under
-    one doc_id are judged apart, and the better one counts.
+    Words are compared in lower case without punctuation.  An item of one to
+    four words is contained where its words follow each other.  Null and empty
+    texts on either side match nothing.  Repeated rows give one result; texts
+    under one doc_id are judged apart, and the better one counts.
     """
     best = _found(docs, items, k, containment).groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("found") / F.col("q"), "q", "found")).alias("b"))
     return best.select(
@@ -82,18 +92,19 @@ def _found(docs: DataFrame, items: DataFrame, k: int, containment: float) -> Dat
     """``(doc_id, copy, item, item_id, q, need, found)`` per text and item contained."""
     shingles = stage(item_shingles(items, k, containment), "items")
     shingle_rows = shingles.count()
-    # By size partition: no sketch of it reaches above this hash.
-    sketch = shingles.where("sketch").select("h", "item", "need", "partition")
-    limit = F.max("h").over(W.partitionBy("partition"))
-    sketch = sketch.withColumn("limit", limit)
-    highest = sketch.agg(F.max("limit")).first()[0]
-    if highest is None:
-        highest = -(2**63)
+    sketch = shingles.where("sketch")
+    # What each partition accepts, a row a length and power of two of the size: no sketch hash above its highest,
+    # no document with fewer shingles than its least need.
+    accepts = sketch.groupBy("length", "partition").agg(F.max("h").alias("highest"), F.min("need").alias("need")).collect()
+    lengths = sorted({r.length for r in accepts}) or [k]
+    accepted = F.lit(False)
+    for r in accepts:
+        accepted |= (F.col("length") == r.length) & (F.col("h") <= r.highest) & (F.col("shingles") >= r.need)
     texts = docs.select("doc_id", text_hash().alias("copy"), _words(F.col("text")).alias("words"))
 
-    probes = _shingles(texts, ["doc_id", "copy"], k).withColumn("shingles", F.greatest(F.size("words") - k + 1, F.lit(1)))
+    probes = _shingles(texts, ["doc_id", "copy"], lengths).withColumn("shingles", F.size("words") - F.col("length") + 1)
     hits = (
-        probes.where(F.col("h") <= highest)
+        probes.where(accepted)
         .select("doc_id", "copy", "h", "shingles")
         .join(_small(sketch.select("h", "item", "need"), shingle_rows), "h")
         .where("shingles >= need")
@@ -102,7 +113,7 @@ def _found(docs: DataFrame, items: DataFrame, k: int, containment: float) -> Dat
 
     searched = candidates.select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")).distinct()
     suspects = texts.join(searched, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("copy") == F.col("_copy")), "left_semi")
-    seen = _shingles(suspects, ["doc_id", "copy"], k).join(_small(shingles, shingle_rows), "h").where(_text_of(k) == F.col("shingle"))
+    seen = _shingles(suspects, ["doc_id", "copy"], lengths).join(_small(shingles, shingle_rows), ["h", "length"]).where(_text_of() == F.col("shingle"))
     found = (
         seen.select("doc_id", "copy", "item", "item_id", "q", "need", "h", "shingle")
         .distinct()
