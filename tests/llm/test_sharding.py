@@ -27,6 +27,14 @@ def test_law_sizes_and_slots(spark, many):
     assert all(abs(counts[s] - 8000 / 17) < 5 * (8000 / 17) ** 0.5 for s in range(17))
 
 
+@pytest.mark.parametrize("shards", [1, 5, 12, 16])
+def test_one_more_shard_takes_rows_only_into_itself(many, shards):
+    rows = sharding.shard_plan(many, shards).collect()
+    moved = [r for r in rows if r.grown_shard != r.shard]
+    assert {r.grown_shard for r in moved} == {shards} and abs(len(moved) - 8000 / (shards + 1)) < 5 * (8000 / (shards + 1)) ** 0.5
+    assert sharding.grown(sharding.tree([1.0] * 16)) == sharding.tree([1.0] * 17)
+
+
 def test_weights_and_confined_movement(many):
     even, heavy = [1.0] * 16, [1.0] * 16
     heavy[5] = 3.0

@@ -40,6 +40,13 @@ def tree(weights: Sequence[float]) -> Tree:
     return out
 
 
+def grown(old: Tree) -> Tree:
+    """The tree with one more shard of weight 1, in a region of its own: no other weight changes, so rows only move into it."""
+    racks = {n: rack for region in old.values() for n, rack in region.items()}
+    shard = 1 + max(n for rack in racks.values() for n in rack)
+    return {**old, max(old) + 1: {max(racks) + 1: {shard: 1.0}}}
+
+
 def _draw(key: Column, node: str, weight: float) -> Column:
     digits = F.substring(F.md5(F.concat(F.lit(f"{node}:"), key)), 1, _DIGITS)
     u = (F.conv(digits, 16, 10).cast("bigint") + F.lit(0.5)) / F.lit(float(16**_DIGITS))
@@ -61,8 +68,7 @@ def _total(node) -> float:
     return sum(_total(x) for x in node.values()) if isinstance(node, dict) else node
 
 
-def _descended(rows: DataFrame, key: str, weights: Sequence[float], name: str) -> DataFrame:
-    regions = tree(weights)
+def _descended(rows: DataFrame, key: str, regions: Tree, name: str) -> DataFrame:
     racks = {n: rack for region in regions.values() for n, rack in region.items()}
     k = F.col(key)
     return (
@@ -86,7 +92,7 @@ def with_shard(rows: DataFrame, shards: int = SHARDS, weights: Sequence[float] |
     Rows without an id share one key; a column of the same name is replaced.
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    placed = _descended(rows.select(F.struct("*").alias("row"), key.alias("_key")), "_key", _weights(shards, weights), "_shard")
+    placed = _descended(rows.select(F.struct("*").alias("row"), key.alias("_key")), "_key", tree(_weights(shards, weights)), "_shard")
     others = [F.col("row").getField(c).alias(c) for c in rows.columns if c.lower() != name.lower()]
     return placed.select(*others, F.col("_shard").cast("int").alias(name))
 
@@ -97,11 +103,12 @@ def shard_plan(docs: DataFrame, shards: int = SHARDS, weights: Sequence[float] |
     The law is ``key``: doc_id and the shard weights decide.  ``size`` is the
     text's UTF-8 bytes plus 1 (null text: 1, and a null checksum).  Slots count
     from 0 in every shard; repeated rows get neighbouring slots.
-    ``grown_shard`` is the shard if one of weight 1 is added.  Rows are
+    ``grown_shard`` is the shard if one of weight 1 is added, in a region of
+    its own, so that rows move into it alone at any number of shards.  Rows are
     numbered in buckets of a shard and moved up by the buckets before, so no
     task holds a shard.
     """
-    own = _weights(shards, weights)
+    own = tree(_weights(shards, weights))
     text = F.col("text").cast("string")
     rows = docs.select(
         F.col("doc_id"),
@@ -110,7 +117,7 @@ def shard_plan(docs: DataFrame, shards: int = SHARDS, weights: Sequence[float] |
     )
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     rows = rows.withColumn("_key", key)
-    placed = _descended(_descended(rows, "_key", own, "shard"), "_key", [*own, 1.0], "grown_shard")
+    placed = _descended(_descended(rows, "_key", own, "shard"), "_key", grown(own), "grown_shard")
     spread = F.substring(F.md5(F.concat_ws(":", "_key", F.col("size").cast("string"))), 1, BUCKET_DIGITS)
     placed = stage(placed.withColumn("_bucket", spread).drop("_key"), "shards")
 
