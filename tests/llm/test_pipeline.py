@@ -46,7 +46,7 @@ def test_stages_one_by_one(spark, tmp_path):
     assert {r.doc_id for r in after.collect()} == keep and len(keep) > before.count() // 2
 
     before, after = seen[1]
-    group = {r.doc_id: r["first"].id for r in simhash.similar_groups(before).collect()}
+    group = {r.doc_id: r.component_id for r in simhash.near_duplicates(before).collect()}
     assert sorted(r.doc_id for r in after.collect()) == sorted(set(group.values()))
 
     before, after = seen[2]

@@ -98,13 +98,16 @@ def similar(rng, text, changes):
 @pytest.mark.parametrize("cell_rows", [4096, 3])
 def test_one_of_each_group_stays(spark, cell_rows):
     rng = random.Random(4)
-    rows, base = [], [sentence(rng, 300, 5000) for _ in range(12)]
+    rows, base = [], [sentence(rng, 600, 5000) for _ in range(12)]
     for k, text in enumerate(base):
         rows.append((10 * k, text, "en", "a"))
         rows += [(10 * k + c, similar(rng, text, c), "en", "b") for c in range(1, 5)]
-        rows.append((10 * k + 9, similar(rng, text, 60), "en", "b"))
-    kept = simhash.one_of_each(frame(spark, rows), cell_rows)
-    assert sorted(r.doc_id for r in kept.collect()) == sorted([10 * k for k in range(12)] + [10 * k + 9 for k in range(12)])
+        rows += [(10 * k + 8, text.upper(), "en", "b"), (10 * k + 9, similar(rng, text, 120), "en", "b")]
+    rows.sort()
+    kept = simhash.one_of_each(frame(spark, rows).repartition(4), cell_rows=cell_rows)
+    group = groups([fingerprint(t) for _, t, *_ in rows], close)
+    want = sorted({rows[g][0] for g in group})
+    assert sorted(r.doc_id for r in kept.collect()) == want and 24 <= len(want) < len(rows) - 24
     assert kept.columns == frame(spark, []).columns
 
 

@@ -105,15 +105,15 @@ WITH d AS (
   SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
 b AS (
   SELECT item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
-ds AS (
-  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
-  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
 bs AS (
-  SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
-  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT item_id, w, least(len(w), 5) AS n, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+ds AS (
+  SELECT DISTINCT doc_id, n, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d JOIN (SELECT DISTINCT n FROM bs) ON len(w) >= n)),
 q AS (SELECT item_id, count(*) AS q FROM bs GROUP BY 1)
 SELECT doc_id, item_id, q AS item_shingles, count(*) AS found, count(*)::DOUBLE / q AS containment
-FROM ds JOIN bs USING (s) JOIN q USING (item_id)
+FROM ds JOIN bs USING (n, s) JOIN q USING (item_id)
 GROUP BY doc_id, item_id, q HAVING count(*) >= ceil(q * 0.8::DOUBLE - 1e-9)"""
 
 
@@ -158,15 +158,16 @@ def token_totals(spark: SparkSession, folder: str) -> DataFrame:
     """Totals of the different texts, as three batches leave them.
 
     All documents come in with a count estimated from their bytes; the
-    tokenizer's counts then revise them; last, all but the first document of
-    equal texts are deleted.  Every batch is committed twice.
+    tokenizer's counts then revise them; last, all but one row of equal texts
+    are deleted.  The first by doc_id, source and language stays, nulls last;
+    repeated rows and rows without an id are rows like others, and null texts
+    equal empty ones.  Every batch is committed twice.
     """
     counted = stage(token_counts.with_tokens(table(spark, folder, "documents"), "byte_bpe_50k"), "counted")
     guess = F.ceil(F.col("n_bytes") / 4)
-    first = counted.groupBy("copy").agg(F.min("doc_id").alias("first"))
-    copies = counted.join(first, "copy").where("doc_id > first")
+    copies = token_counts.repeated(counted)
     totals = token_counts.TokenTotals(spark, new_folder(spark, "token-totals"))
-    batches = [token_counts.inserted(counted, guess), token_counts.revised(counted, guess, "tokens"), token_counts.deleted(copies)]
+    batches = [token_counts.inserted(counted, guess), token_counts.revised(counted, guess, "tokens"), copies]
     for number, changes in enumerate(batches):
         for _ in range(2):
             totals.commit(number, changes)

@@ -21,7 +21,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm import similar
 from tradeloom.llm.components import components
 from tradeloom.llm.rows import kept, packed, unpacked
 from tradeloom.llm.words import find_words, mix, shingle_ranges, slices
@@ -117,8 +116,6 @@ def near_within(fps: np.ndarray, radius: int = RADIUS) -> np.ndarray:
     coordinate.  Blocks of rows are held against the band: pairs go by the
     largest coordinate difference, survivors by the bits themselves.
     """
-    if len(fps) == 2:
-        return np.array([0, int(_apart(fps[0], fps[1]) > radius)])
     table = distance_table(fps, references(lanes=fps.shape[1]))
     by = np.argsort(table[0], kind="stable")
     table, values = table[:, by], fps[by]
@@ -261,25 +258,12 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, cell_rows: int
     return _grouped(docs, words, cell_rows).select("doc_id", "fp", F.col("first.id").alias("component_id"))
 
 
-def similar_groups(docs: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """``(doc_id, copy, first)``: every row with the first row of its group of texts of similarity 0.8 and more.
+def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """One row of every group of near-duplicates: that with the smallest doc_id, of several such that with the smallest text hash.
 
-    Similarity is the exact Jaccard similarity of the sets of five-word
-    shingles, found by ``similar.links``; groups are connected over similar
-    pairs.  Rows without an id come after all others; null and empty texts form
-    one group.
+    Groups are those of ``near_duplicates``.  Rows without an id come after all
+    others; of repeated rows one stays; null and empty texts are one group;
+    other columns are kept whatever their names.
     """
-    marked = stage(similar.marked(docs), "similar-marks")
-    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("copy").alias("copy"))
-    same = [F.first(c).alias(c) for c in ("size", "bits", "prefix")]
-    groups = stage(marked.groupBy("id").agg(F.min(row).alias("least"), *same), "similar-nodes")
-    found = components(similar.links(docs, groups, cell_rows))
-    rooted = groups.select("id", "least").join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("first"))
-    return marked.select("doc_id", "copy", "id").join(rooted.join(smallest, "root").select("id", "first"), "id").select("doc_id", "copy", "first")
-
-
-def one_of_each(docs: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """One row of every group of similar texts: that with the smallest doc_id, of several such that with the smallest text hash."""
-    keep = similar_groups(docs, cell_rows).select(F.col("first.id").alias("doc_id"), F.col("first.copy").alias("copy"))
-    return unpacked(kept(packed(docs), keep).dropDuplicates(["doc_id", "copy"]))
+    first = _grouped(docs, words, cell_rows).select(F.col("first.id").alias("doc_id"), F.col("first.copy").alias("copy"))
+    return unpacked(kept(packed(docs), first).dropDuplicates(["doc_id", "copy"]))
