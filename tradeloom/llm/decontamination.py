@@ -37,14 +37,17 @@ def _words(text: Column) -> Column:
 
 def _shingles(rows: DataFrame, keep: list[str], lengths: list[int]) -> DataFrame:
     """One row per word position and length that fits: ``keep`` columns, ``length``, the hash ``h``, words and position ``i``."""
-    n = F.size("words")
-    at = rows.where(n >= min(lengths)).select(*keep, "words", F.explode(F.sequence(F.lit(0), n - min(lengths))).alias("i"))
-    hashes = {k: F.xxhash64(*[F.get("words", F.col("i") + j) for j in range(k)]) for k in lengths}
-    if len(lengths) == 1:
-        return at.withColumn("length", F.lit(lengths[0])).withColumn("h", hashes[lengths[0]])
-    fits = [F.when(F.col("i") + k <= n, F.struct(F.lit(k).alias("length"), h.alias("h"))) for k, h in hashes.items()]
-    each = at.withColumn("_s", F.explode(F.array_compact(F.array(*fits))))
-    return each.select(*keep, "words", "i", "_s.length", "_s.h")
+    n, many = F.size("words"), len(lengths)
+    # One generator for both, so that the words are never copied from row to row.
+    last = (n - min(lengths) + 1) * many - 1
+    at = rows.where(n >= min(lengths)).select(*keep, "words", F.explode(F.sequence(F.lit(0), last)).alias("_at"))
+    i, which = F.floor(F.col("_at") / many).cast("int"), F.pmod("_at", F.lit(many))
+    length = F.get(F.array(*map(F.lit, lengths)), which) if many > 1 else F.lit(lengths[0])
+    at = at.withColumn("i", i).withColumn("length", length).drop("_at").where(F.col("i") + F.col("length") <= n)
+    hashes = [F.xxhash64(*[F.get("words", F.col("i") + j) for j in range(k)]) for k in lengths]
+    if many == 1:
+        return at.withColumn("h", hashes[0])
+    return at.withColumn("h", F.coalesce(*[F.when(F.col("length") == k, h) for k, h in zip(lengths, hashes)]))
 
 
 def _text_of() -> Column:
