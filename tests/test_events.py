@@ -1,6 +1,7 @@
 """Envelopes, windows, late events and the streaming jobs."""
 
 import json
+import random
 import time
 
 import pytest
@@ -8,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tradeloom.functions.envelope import REQUIRED, group_key, normalised
-from tradeloom.operators import rollups
+from tradeloom.operators import quality, rollups
 from tradeloom.plans.snapshots import SnapshotTable
 from tradeloom.sources.events import RECORD, read_events
+from tradeloom.sources.outbox import read_outbox_stream
 from tradeloom.streaming import envelopes, jobs, windows
 
 FULL = {f: "x" for f in REQUIRED} | {"eventType": "OrderCreated", "timestamp": "2024-01-01T00:00:10Z"}
@@ -269,3 +271,67 @@ def test_outbox_resumes_after_the_stored_mark(spark, tmp_path):
         jobs.poll_outbox(more, marks, broken, 3)
     assert jobs.poll_outbox(more, marks, sink, 3) == 6
     assert got == [[1, 2], [3, 4, 5], [6]]
+
+
+def test_stream_time_goes_on_after_a_restart(spark, tmp_path):
+    """Two partitions in shuffled batches, some records without a time; each run starts from the checkpoint of the one before."""
+    rng = random.Random(4)
+    records = []
+    for offset in range(300):
+        ms = offset * 20_000 - rng.choice([0, 0, 0, 400_000, 90_000]) + 10**9
+        records.append((offset % 2, offset, None if offset % 37 == 5 else ms, f"v{offset}"))
+    schema = "partition int, offset bigint, ms bigint, value string"
+    top, want = {}, []
+    for p, offset, ms, value in records:
+        if ms is not None:
+            top[p] = max(top.get(p, ms), ms)
+        late = None if ms is None else ms - ms % 60_000 + 60_000 <= top[p] - 30_000
+        want.append((p, offset, ms, value, top.get(p), late))
+    source, out, progress = (str(tmp_path / n) for n in ("topic", "out", "progress"))
+    for run in range(4):
+        part = records[run * 75 : run * 75 + 75]
+        rng.shuffle(part)
+        spark.createDataFrame(part, schema).repartition(3).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        jobs.mark_late_events(stream, "ms", out, progress).awaitTermination()
+    got = spark.read.schema(schema + ", stream_time bigint, late boolean").parquet(out)
+    assert sorted((tuple(r) for r in got.collect()), key=lambda r: r[1]) == want
+    assert {w[5] for w in want} == {True, False, None}
+
+
+def test_outbox_stream_resumes_behind_the_last_id(spark, tmp_path):
+    table, out, progress = (str(tmp_path / n) for n in ("outbox", "out", "progress"))
+    schema = "id bigint, event_type string, entity_id string, payload string, created_at timestamp_ntz"
+    row = lambda i: (i, "type", f"u-{i}", None if i % 5 == 0 else "{}", None)
+    for low, high in ((1, 40), (40, 41), (41, 41), (41, 95)):
+        spark.createDataFrame([row(i) for i in range(low, high)], schema).repartition(2).write.mode("append").parquet(table)
+        stream = read_outbox_stream(spark, table, starting_id=3, task_ids=7)
+        stream.writeStream.format("parquet").option("checkpointLocation", progress).trigger(availableNow=True).start(out).awaitTermination()
+    got = spark.read.schema(schema).parquet(out)
+    assert sorted(tuple(r) for r in got.select("id", "event_type", "entity_id").collect()) == [row(i)[:3] for i in range(4, 95)]
+    assert got.where("payload is null").count() == 18
+
+
+def test_document_checks_look_at_the_type_a_value_came_with(spark):
+    rules = [
+        quality.Rule("name", required=True, kind="string", min_length=2, max_length=4, pattern="^[a-z]*$"),
+        quality.Rule("n", kind="int", minimum=1, maximum=9),
+        quality.Rule("tags", max_items=2),
+    ]
+    cases = {
+        '{"name": "abc", "n": 3, "tags": [1, 2]}': [],
+        '{"name": 5}': ["name.type"],
+        '{"name": "5"}': ["name.minLength", "name.pattern"],
+        '{"n": 2.0}': ["name.required"],
+        '{"name": null, "n": "3"}': ["name.type", "n.type"],
+        '{"name": {"a": 1}, "n": 0, "tags": []}': ["name.type", "n.minimum"],
+        '{"name": "abcde", "n": 10.5, "tags": [1, 2, 3]}': ["name.maxLength", "n.type", "n.maximum", "tags.maxItems"],
+        '{"name": "ab", "n": true, "tags": "abc"}': ["n.type"],
+        "[1]": ["document.type"],
+        '{"name": ': ["document.type"],
+        "null": ["document.type"],
+        "": ["document.type"],
+    }
+    df = spark.createDataFrame([(b,) for b in cases] + [(None,)], "body string")
+    got = {r.body: r.broken for r in quality.broken_json_rules(df, "body", rules).collect()}
+    assert got == {**cases, None: ["document.type"]}

@@ -1,5 +1,9 @@
 """Golden results on the exact relational seed."""
 
+import random
+
+import pytest
+
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -84,7 +88,7 @@ def test_dangling_edges_are_dropped(seed):
 
 def test_paths_between_users(seed):
     bought = reports.purchase_edges(seed.orders)
-    edges = g.undirected((bought, "user_id", "u", "good_id", "g"))
+    edges = [g.Edges(bought, "user_id", "u", "good_id", "g")]
     assert rows(g.shortest_path(edges, "u6", "u11", 3)) == [(2, ["u6", "g1", "u11"])]
     assert g.shortest_path(edges, "u6", "u12", 5).count() == 0
     assert rows(g.shortest_path(edges, "u6", "u6", 3)) == [(0, ["u6"])]
@@ -92,6 +96,92 @@ def test_paths_between_users(seed):
     assert rows(g.reachable(edges, "u6", 3).where("hops = 3"), "node") == [("g16",), ("g20",)]
 
 
+def similar_by_force(sets, k):
+    out = []
+    for a, x in sets.items():
+        for b, y in sets.items():
+            if a != b:
+                common, total = len(x & y), len(x | y)
+                out.append((-(common / total), -common, a, b))
+    return [(a, b, -c, round(-s, 9)) for s, c, a, b in sorted(out)[:k]]
+
+
+def shops(spark, sets):
+    goods = [(m, c) for m, own in sets.items() for c in own]
+    users = [(m, f"shop {m}", "merchant") for m in sets]
+    return spark.createDataFrame(goods, "merch_id bigint, caty_id bigint"), spark.createDataFrame(users, "user_id bigint, name string, user_type string")
+
+
+def top_similar(spark, sets, k):
+    found = g.similar_merchants(*shops(spark, sets), k)
+    got = [(r.user1, r.user2, r.common_categories, round(r.similarity, 9)) for r in found.collect()]
+    return sorted(got, key=lambda r: (-r[3], -r[2], r[0], r[1]))
+
+
+def odd_shops():
+    rng = random.Random(6)
+    hub = {m: {0, 100 + m} for m in range(1, 120)}
+    mixed = {m: {0} | set(rng.sample(range(1, 14), rng.randrange(0, 6))) for m in range(1, 60)}
+    ends = {m: set(rng.sample([1, 2, 3], rng.randrange(1, 4))) | {10 * m} for m in range(1, 40)}
+    few = {1: {1}, 2: {2}, 3: {1, 3}, 4: {4}, 5: {5, 6}, 6: {7}}
+    return {"hub": hub, "mixed": mixed, "ends": ends, "few": few}
+
+
+@pytest.mark.parametrize("shape", ["hub", "mixed", "ends", "few"])
+def test_most_similar_merchants_are_those_of_all_pairs(spark, shape):
+    sets = odd_shops()[shape]
+    for k in (1, 10, 60):
+        assert top_similar(spark, sets, k) == similar_by_force(sets, k)
+
+
+def test_a_category_of_all_merchants_joins_few_classes(spark):
+    """2,000 shops of two categories, one of them everyone's: 4 million pairs have similarity 1/3."""
+    goods, _ = shops(spark, {m: {0, 100 + m} for m in range(1, 2001)})
+    sets = goods.groupBy(F.col("merch_id").alias("user_id")).agg(F.sort_array(F.collect_list("caty_id")).alias("cats"))
+    members = sets.withColumn("n", F.size("cats").cast("bigint"))
+    assert g._met_classes(members, 0.2, 10).count() == 11 * 10
+
+
+def walks(pairs, start, goal, most):
+    """All shortest walks over undirected pairs, by trying."""
+    near = {}
+    for a, b in pairs:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    layer = [[start]]
+    for _ in range(most + 1):
+        hit = [p for p in layer if p[-1] == goal]
+        if hit:
+            return min(hit)
+        layer = [p + [n] for p in layer for n in near.get(p[-1], ()) if n not in p]
+    return None
+
+
+def test_two_sided_search_finds_the_smallest_path(spark):
+    rng = random.Random(8)
+    one = [(rng.randrange(1, 14), rng.randrange(1, 14)) for _ in range(16)]
+    two = [(rng.randrange(1, 14), rng.randrange(1, 9)) for _ in range(10)]
+    edges = [
+        g.Edges(spark.createDataFrame(one + one[:3], "a bigint, b bigint"), "a", "u", "b", "g"),
+        g.Edges(spark.createDataFrame(two, "x bigint, y bigint"), "x", "g", "y", "c"),
+    ]
+    pairs = [(f"u{a}", f"g{b}") for a, b in one] + [(f"g{x}", f"c{y}") for x, y in two]
+    for goal, most in (("u2", 4), ("g5", 5), ("c3", 5), ("u9", 3), ("u1", 0)):
+        want = walks(pairs, "u1", goal, most)
+        assert rows(g.shortest_path(edges, "u1", goal, most)) == ([] if want is None else [(len(want) - 1, want)])
+
+
+def test_a_hub_is_not_opened_while_the_other_side_is_smaller(spark, monkeypatch):
+    hub = [(1, good) for good in range(1, 2001)] + [(2, 7), (2, 3000), (3, 3000)]
+    edges = [g.Edges(spark.createDataFrame(hub, "a bigint, b bigint"), "a", "u", "b", "g")]
+    sizes, grow = [], g._Side.grow
+    monkeypatch.setattr(g._Side, "grow", lambda self: (grow(self), sizes.append(self.size))[0])
+    # u3 - g3000 - u2 - g7 - u1: three layers of one or two nodes from u3, one of 2,000 from the hub at the end.
+    assert rows(g.shortest_path(edges, "u3", "u1", 4)) == [(4, ["u3", "g3000", "u2", "g7", "u1"])]
+    assert sizes.count(2000) <= 1 and len(sizes) == 4
+    assert "u1" not in {r.path[0] for r in g.shortest_path(edges, "u2", "u3", 2).collect()}
+
+
 def test_review_takes_one_order(spark):
     """A good bought twice gives its review one row: the latest order before it."""
     day = "timestamp_ntz'2024-01-0{}'"

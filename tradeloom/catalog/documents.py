@@ -271,6 +271,46 @@ def _(m: Market):
     return checked.select("good_id", F.array_join("broken", "|").alias("broken"))
 
 
+@query(
+    "broken_json_documents",
+    "C3",
+    check_sql(
+        "products",
+        """SELECT good_id, CASE WHEN s % 10 = 9 THEN 'document.type' ELSE concat_ws('|',
+                  CASE s % 10 WHEN 0 THEN 'name.type' WHEN 1 THEN 'name.type' WHEN 2 THEN 'name.minLength' WHEN 3 THEN 'name.required'
+                              WHEN 4 THEN 'name.maxLength' END,
+                  CASE s % 7 WHEN 0 THEN 'merchant_id.type' WHEN 1 THEN 'merchant_id.type' WHEN 2 THEN 'merchant_id.minimum'
+                             WHEN 3 THEN 'merchant_id.required' WHEN 4 THEN 'merchant_id.type' END,
+                  CASE s % 3 WHEN 0 THEN 'category_id.type' END,
+                  CASE s % 4 WHEN 0 THEN 'good_id.type' WHEN 1 THEN 'good_id.minimum' END) END AS broken
+           FROM (SELECT good_id, CAST(p_size AS INTEGER) AS s FROM products)""",
+    ),
+)
+def _(m: Market):
+    """Products as JSON whose fields come with other types, too short, too long, null or not at all, by size."""
+    s = F.col("attributes")["size"].cast("int")
+
+    def field(key: str, divisor: int, *odd: str | None, usual: Column) -> Column:
+        """``"key":value`` by the size's remainder; None leaves the field out."""
+        value = F.lit(None).cast("string")
+        for k, text in enumerate(odd):
+            value = F.when(F.pmod(s, F.lit(divisor)) == k, F.lit(text).cast("string")).otherwise(value)
+        value = F.when(F.pmod(s, F.lit(divisor)) >= len(odd), usual).otherwise(value)
+        return F.concat(F.lit(f'"{key}":'), value)
+
+    quoted = lambda c: F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"'))
+    fields = [
+        field("name", 10, "5", "null", '""', None, f'"{"long" * 126}"', usual=quoted("name")),
+        field("merchant_id", 7, '"7"', "1.5", "0", None, "[7]", usual=F.col("merchant_id").cast("string")),
+        field("category_id", 3, '{"id":3}', usual=F.concat(F.col("category_id").cast("string"), F.lit(".0"))),
+        field("good_id", 4, "true", "-3", usual=F.col("good_id").cast("string")),
+    ]
+    body = F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
+    broken = F.when(F.pmod(s, F.lit(20)) == 9, "[1]").when(F.pmod(s, F.lit(20)) == 19, '{"name":').otherwise(body)
+    checked = quality.broken_json_rules(m.products.select("good_id", broken.alias("body")), "body", quality.PRODUCT_RULES)
+    return checked.select("good_id", F.array_join("broken", "|").alias("broken"))
+
+
 @query(
     "broken_reviews",
     "C3",

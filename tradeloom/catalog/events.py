@@ -14,6 +14,7 @@ from tradeloom.operators import generate
 from tradeloom.plans.staging import new_folder
 from tradeloom.sources.events import read_events
 from tradeloom.sources.market import Market
+from tradeloom.sources.outbox import read_outbox_stream
 from tradeloom.sources.tables import read_outbox_increment, trim_outbox, write_dead_letters
 from tradeloom.streaming import envelopes, jobs, windows
 
@@ -216,6 +217,27 @@ def _(m: Market):
     return windows.mark_late(replay, "ts_ms").select("offset", "ts_ms", "stream_time", "late")
 
 
+@query("streamed_late_events", "S7", _LATE)
+def _(m: Market):
+    """The same rule on the stream: four runs from one checkpoint, each with the next quarter of the topic, shuffled."""
+    events = m.table("events")
+    back = F.pmod(F.col("event_id") * 7919, F.lit(11)) * 600000
+    replay = events.select(
+        F.pmod("user_id", F.lit(4)).alias("partition"),
+        F.col("event_id").alias("offset"),
+        (F.unix_millis(F.col("ts").cast("timestamp")) - back).alias("ts_ms"),
+    )
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    source, target, progress = (new_folder(m.spark, label) for label in ("replay", "late", "progress"))
+    for quarter in range(4):
+        own = F.floor(F.col("offset") * 4 / (last + 1)) == quarter
+        replay.where(own).orderBy(F.xxhash64("offset")).write.mode("append").parquet(source)
+        stream = m.spark.readStream.schema(replay.schema).parquet(source)
+        jobs.mark_late_events(stream, "ts_ms", target, progress).awaitTermination()
+    out = "offset bigint, ts_ms bigint, stream_time bigint, late boolean"
+    return m.spark.read.schema(out).parquet(target)
+
+
 def _twice(m: Market):
     once = records(m)
     return once.unionByName(once.where(F.pmod("offset", F.lit(3)) == 0))
@@ -312,6 +334,26 @@ def _(m: Market):
     return m.spark.read.schema("id bigint, poll bigint").parquet(target).select("id", "poll")
 
 
+@query(
+    "streamed_outbox",
+    "S10 SRC5",
+    """SELECT event_id + 1 AS id, event_type, 'u-' || user_id AS entity_id, props AS payload, ts AS created_at,
+              CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 0 ELSE 1 END::BIGINT AS run FROM events""",
+)
+def _(m: Market):
+    """The outbox as a stream, stopped and resumed: the first half of the month, then everything, then nothing new."""
+    table, target, progress = (new_folder(m.spark, label) for label in ("outbox", "delivered", "progress"))
+    half = F.lit("2024-01-15").cast("timestamp_ntz")
+    for number, own in enumerate((F.col("created_at") < half, F.col("created_at") >= half, F.lit(False))):
+        rows = outbox(m).where(own)
+        rows.withColumn("created_at", F.col("created_at").cast("timestamp_ntz")).write.mode("append").parquet(table)
+        stream = read_outbox_stream(m.spark, table).withColumn("run", F.lit(number).cast("bigint"))
+        writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", progress)
+        writer.trigger(availableNow=True).start(target).awaitTermination()
+    schema = "id bigint, event_type string, entity_id string, payload string, created_at timestamp_ntz, run bigint"
+    return m.spark.read.schema(schema).parquet(target)
+
+
 @query(
     "routed_events",
     "S12",

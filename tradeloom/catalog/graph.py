@@ -144,7 +144,7 @@ _SIMILAR = """
   FROM s a JOIN s b ON a.c = b.c AND a.m <> b.m JOIN n sa ON sa.m = a.m JOIN n sb ON sb.m = b.m GROUP BY 1, 2"""
 
 
-def _similar_sql(k: int, goods: str = "goods") -> str:
+def _similar_sql(k: int) -> str:
     return check_sql(
         "goods users",
         f"""SELECT user1, user2, u1.name AS seller1, u2.name AS seller2, common_categories, total_categories,
@@ -154,7 +154,7 @@ def _similar_sql(k: int, goods: str = "goods") -> str:
                  WHERE NOT EXISTS (SELECT 1 FROM s x JOIN s y ON x.c = y.c WHERE x.m = a.m AND y.m = b.m)) p
            JOIN users u1 ON u1.user_id = user1 JOIN users u2 ON u2.user_id = user2
            ORDER BY similarity DESC, common_categories DESC, user1, user2 LIMIT {k}""",
-        s=f"SELECT DISTINCT merch_id AS m, caty_id AS c FROM {goods}",
+        s="SELECT DISTINCT merch_id AS m, caty_id AS c FROM goods",
         n="SELECT m, count(*) AS n FROM s GROUP BY 1",
         p=_SIMILAR,
     )
@@ -171,13 +171,6 @@ def _(m: Market):
     return g.similar_merchants(m.goods, m.users, 400)
 
 
-@query("similar_merchants_few", "G5", _similar_sql(10, "goods WHERE merch_id % 3 <> 1 AND good_id < 40"))
-def _(m: Market):
-    """So few goods that pairs without a common category fill up the list."""
-    few = m.goods.where((F.pmod("merch_id", F.lit(3)) != 1) & (F.col("good_id") < 40))
-    return g.similar_merchants(few, m.users, 10)
-
-
 _ALSO = """
   SELECT good_id, count(*) AS times FROM bought
   WHERE user_id IN (SELECT user_id FROM bought WHERE user_id <> 5 AND good_id IN (SELECT good_id FROM bought WHERE user_id = 5))
@@ -227,7 +220,7 @@ def _(m: Market):
 
 
 def _bought_edges(m: Market):
-    return g.undirected((_bought(m), "user_id", "u", "good_id", "g"))
+    return [g.Edges(_bought(m), "user_id", "u", "good_id", "g")]
 
 
 _EDGES = """
@@ -270,12 +263,12 @@ def _(m: Market):
 def _(m: Market):
     """Any edge type, at most five hops."""
     graph = _graph(m)
-    edges = g.undirected(
-        (graph.bought, "user_id", "u", "good_id", "g"),
-        (graph.reviewed, "user_id", "u", "good_id", "g"),
-        (graph.sold_by, "good_id", "g", "user_id", "u"),
-        (graph.in_category, "good_id", "g", "caty_id", "c"),
-    )
+    edges = [
+        g.Edges(graph.bought, "user_id", "u", "good_id", "g"),
+        g.Edges(graph.reviewed, "user_id", "u", "good_id", "g"),
+        g.Edges(graph.sold_by, "good_id", "g", "user_id", "u"),
+        g.Edges(graph.in_category, "good_id", "g", "caty_id", "c"),
+    ]
     return g.shortest_path(edges, "u1", "u20", 5).select("hops")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -208,9 +208,8 @@ def common_purchases(bought: DataFrame, user1: int, user2: int) -> DataFrame:
 
 # -- similarity ---------------------------------------------------------------------
 
-# Thresholds tried in turn; a level is used only when the ones above did not
-# give k pairs.  The last one admits every overlapping pair.
-_LEVELS = (0.9, 0.75, 0.6, 0.5, 0.34, 0.25, 0.15, 0.08, 0.04, 0.02, 0.01, 0.0)
+# The similarity that is looked for first, and the step to the next if it does not give ``k`` pairs.
+_FIRST_LEVEL, _NEXT_LEVEL = 0.9, 0.6
 
 
 def similar_merchants(goods: DataFrame, users: DataFrame, k: int = 10) -> DataFrame:
@@ -220,9 +219,13 @@ def similar_merchants(goods: DataFrame, users: DataFrame, k: int = 10) -> DataFr
     merchants that sell everything are one row.  Pairs inside a class score 1
     and come first; of each class only its first ``k + 1`` merchants can show.
     If they do not fill ``k``, classes are matched by prefix filtering: sets
-    with similarity of at least t share one of their rarest categories, so only
-    those meet, never all sets with a common popular category.  Pairs without a
-    common category have similarity 0 and fill what is left of ``k``.
+    with similarity of at least t share one of their rarest categories.  t goes
+    down until ``k`` pairs reach it, so prefixes grow only as far as the k-th
+    pair asks; at its lowest, what two of the largest sets with one category in
+    common have, all pairs with a common category would show.  A category that
+    is the last of a set's prefix order brings only ``k + 1`` classes of a size
+    together, see ``_met_classes``.  Pairs without a common category have
+    similarity 0 and fill what is left of ``k``.
     """
     pairs = goods.select(F.col("merch_id").alias("user_id"), "caty_id").distinct()
     pairs = pairs.join(merchants(users).select("user_id"), "user_id", "left_semi")
@@ -237,16 +240,17 @@ def similar_merchants(goods: DataFrame, users: DataFrame, k: int = 10) -> DataFr
         "user1", "user2", F.col("n").alias("common_categories"), F.col("n").alias("total_categories")
     )
     if best.limit(k).count() < k:
-        for level in _LEVELS:
+        largest = members.agg(F.max("n")).first()[0] or 1
+        level, lowest = _FIRST_LEVEL, (1 - 1e-9) / (2 * largest - 1)
+        while True:
             best_here = best.unionByName(_class_pairs(members, level, k))
-            if level == 0.0:
-                best = best_here.unionByName(_unlike_pairs(sets, best_here, k))
-                break
-            if best_here.where(
-                F.col("common_categories") >= F.col("total_categories") * level
-            ).limit(k).count() >= k:
+            if best_here.limit(k).count() >= k:
                 best = best_here
                 break
+            if level <= lowest:
+                best = best_here.unionByName(_unlike_pairs(sets, best_here, k))
+                break
+            level = max(lowest, level * _NEXT_LEVEL)
     names1 = users.select(F.col("user_id").alias("user1"), F.col("name").alias("seller1"))
     names2 = users.select(F.col("user_id").alias("user2"), F.col("name").alias("seller2"))
     scored = best.withColumn("similarity", ratio("common_categories", "total_categories"))
@@ -272,10 +276,20 @@ def _unlike_pairs(sets: DataFrame, alike: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _class_pairs(members: DataFrame, level: float, k: int) -> DataFrame:
-    """Ordered pairs of merchants of different classes with similarity >= level."""
-    sets = members.select("cats", "n").distinct()
-    tokens = sets.select("cats", "n", F.explode("cats").alias("c"))
+def _met_classes(members: DataFrame, level: float, k: int) -> DataFrame:
+    """Ordered pairs of classes that share a category of their prefixes and may have similarity >= level.
+
+    ``rest`` is how many categories a set has behind the shared one, so one
+    more than the lesser rest bounds what two sets have in common.  A set that
+    meets others at its last category has nothing behind it: with any set of
+    size m it has at least 1 / (n + m - 1), and more only if they also meet
+    earlier.  Of the sets of one size that end in a category, those with the
+    ``k + 1`` smallest merchants give ``k`` pairs that come before all pairs of
+    the others, so the others stay out: a category that everyone sells joins
+    at most ``k + 1`` classes per size.
+    """
+    sets = members.groupBy("cats", "n").agg(F.min("user_id").alias("first"))
+    tokens = sets.select("cats", "n", "first", F.explode("cats").alias("c"))
     frequency = tokens.groupBy("c").agg(F.count(F.lit(1)).alias("f"))
     # Rarest categories first; a set keeps n - ceil(level * n) + 1 of them.
     by_rarity = W.partitionBy("cats").orderBy("f", "c")
@@ -284,15 +298,28 @@ def _class_pairs(members: DataFrame, level: float, k: int) -> DataFrame:
         tokens.join(frequency, "c")
         .withColumn("_at", F.row_number().over(by_rarity))
         .where(F.col("_at") <= F.least(kept, F.col("n")))
+        .select("c", "cats", "n", "first", (F.col("n") - F.col("_at")).alias("rest"))
     )
-    left = prefix.select("c", F.col("cats").alias("cats1"), F.col("n").alias("n1"))
-    right = prefix.select("c", F.col("cats").alias("cats2"), F.col("n").alias("n2"))
-    matched = (
+    ends = top_per_group(prefix.where("rest = 0"), ["c", "n"], ["first"], k + 1)
+    prefix = prefix.where("rest > 0").unionByName(ends)
+    left = prefix.select("c", F.col("cats").alias("cats1"), F.col("n").alias("n1"), F.col("rest").alias("rest1"))
+    right = prefix.select("c", F.col("cats").alias("cats2"), F.col("n").alias("n2"), F.col("rest").alias("rest2"))
+    most = F.least("rest1", "rest2") + 1
+    return (
         left.join(right, "c")
         .where(F.col("cats1") != F.col("cats2"))
         .where((F.col("n1") >= F.col("n2") * F.lit(level)) & (F.col("n2") >= F.col("n1") * F.lit(level)))
-        .select("cats1", "cats2", "n1", "n2")
-        .distinct()
+        # Only the first category two sets share counts, and there the bound holds.
+        .groupBy("cats1", "cats2", "n1", "n2")
+        .agg(F.max(most).alias("most"))
+        .where(F.col("most") >= (F.col("n1") + F.col("n2") - F.col("most")) * F.lit(level))
+    )
+
+
+def _class_pairs(members: DataFrame, level: float, k: int) -> DataFrame:
+    """Ordered pairs of merchants of different classes with similarity >= level, all that can be among the first ``k``."""
+    matched = (
+        _met_classes(members, level, k)
         .withColumn("common_categories", F.size(F.array_intersect("cats1", "cats2")).cast("bigint"))
         .withColumn("total_categories", F.col("n1") + F.col("n2") - F.col("common_categories"))
         .where(F.col("common_categories") >= F.col("total_categories") * F.lit(level))
@@ -356,74 +383,111 @@ def cross_sell(graph: Graph, category: str, k: int | None = 10) -> DataFrame:
 
 # -- paths ---------------------------------------------------------------------------------
 
-def user_node(c) -> "F.Column":
-    return F.concat(F.lit("u"), c.cast("string"))
+@dataclass(frozen=True)
+class Edges:
+    """An edge table as it lies: its two key columns, each with the label letter of its nodes.
+
+    A node's name is its label and key, ``u1``.  Edges are walked both ways.
+    """
 
+    rows: DataFrame
+    src: str
+    src_label: str
+    dst: str
+    dst_label: str
 
-def good_node(c) -> "F.Column":
-    return F.concat(F.lit("g"), c.cast("string"))
 
+def _node(name: str) -> tuple[str, int]:
+    key = name.lstrip("abcdefghijklmnopqrstuvwxyz")
+    return name[: len(name) - len(key)], int(key)
 
-def undirected(*edges: tuple[DataFrame, str, str, str, str]) -> DataFrame:
-    """Edges as (src, dst) in both directions; ends are labelled node names.
 
-    Each edge table comes with its two key columns and their label letters.
+def _named() -> Column:
+    return F.concat("label", F.col("key").cast("string"))
+
+
+def _steps(frontier: DataFrame, edges: list[Edges]) -> DataFrame:
+    """Frontier rows once per edge that leaves their node, with the ``label`` and ``key`` at its other end.
+
+    The frontier meets each table on the table's own key column; nothing is
+    copied or turned round.
     """
     out = None
-    for df, src, src_label, dst, dst_label in edges:
-        a = F.concat(F.lit(src_label), F.col(src).cast("string"))
-        b = F.concat(F.lit(dst_label), F.col(dst).cast("string"))
-        both = df.select(F.explode(F.array(F.struct(a.alias("src"), b.alias("dst")), F.struct(b.alias("src"), a.alias("dst")))).alias("e"))
-        part = both.select("e.src", "e.dst")
-        out = part if out is None else out.unionByName(part)
+    for e in edges:
+        for here, here_label, there, there_label in ((e.src, e.src_label, e.dst, e.dst_label), (e.dst, e.dst_label, e.src, e.src_label)):
+            own = frontier.where(F.col("label") == here_label).withColumnRenamed("key", "_here").drop("label")
+            links = e.rows.select(F.col(here).alias("_here"), F.col(there).cast("bigint").alias("key")).where(F.col("key").isNotNull())
+            part = own.join(links, "_here").drop("_here").withColumn("label", F.lit(there_label))
+            out = part if out is None else out.unionByName(part)
     return out
 
 
-def shortest_path(edges: DataFrame, start: str, goal: str, max_hops: int) -> DataFrame:
+@dataclass
+class _Side:
+    """What a search has reached from one end: the newest nodes with their best path, all nodes, and how many are newest."""
+
+    edges: list[Edges]
+    newest: DataFrame
+    visited: DataFrame
+    size: int
+    forward: bool
+
+    @classmethod
+    def at(cls, spark: SparkSession, edges: list[Edges], name: str, forward: bool) -> "_Side":
+        label, key = _node(name)
+        row = spark.range(1).select(F.lit(label).alias("label"), F.lit(key).cast("bigint").alias("key"), F.array(F.lit(name)).alias("path"))
+        row = stage(row, "frontier")
+        return cls(edges, row, row.select("label", "key"), 1, forward)
+
+    def grow(self) -> None:
+        ahead = F.array(_named())
+        longer = F.concat("path", ahead) if self.forward else F.concat(ahead, F.col("path"))
+        reached = _steps(self.newest, self.edges).groupBy("label", "key").agg(F.min("path").alias("path"))
+        fresh = reached.join(self.visited, ["label", "key"], "left_anti").withColumn("path", longer)
+        self.newest = stage(fresh, "frontier")
+        self.visited = self.visited.unionByName(self.newest.select("label", "key"))
+        self.size = self.newest.count()
+
+
+def shortest_path(edges: list[Edges], start: str, goal: str, max_hops: int) -> DataFrame:
     """One shortest path (the smallest by node names) of at most ``max_hops``.
 
-    Breadth-first by joins: each hop joins the frontier to the edges, drops
-    visited nodes and keeps one path per node.  Frontiers are written down, so
-    a hop never repeats the ones before it, and lost executors do not either.
+    Searches grow from both ends, a hop at a time and the smaller newest layer
+    first, until they have a node in common; so a hub next to one end is opened
+    from that end only if nothing smaller is left.  Every node carries the
+    smallest path of its length to its end, and the smallest join of two of
+    them is the path.  Layers are written down, so a hop never repeats the ones
+    before it, and lost executors do not either.
     """
-    spark = edges.sparkSession
-    edges = stage(edges.distinct(), "edges")
-    frontier = stage(
-        spark.range(1).select(F.lit(start).alias("node"), F.array(F.lit(start)).alias("path")), "frontier"
-    )
-    visited = frontier.select("node")
+    spark = edges[0].rows.sparkSession
+    near, far = _Side.at(spark, edges, start, True), _Side.at(spark, edges, goal, False)
+
+    def joined() -> DataFrame:
+        other = far.newest.select("label", "key", F.slice("path", 2, max_hops + 1).alias("_rest"))
+        return near.newest.join(other, ["label", "key"]).agg(F.min(F.concat("path", "_rest")).alias("path")).where(F.col("path").isNotNull())
+
+    hit = joined()
     for _ in range(max_hops):
-        hit = frontier.where(F.col("node") == goal)
-        if not hit.isEmpty():
-            break
-        frontier = stage(_expand(frontier, edges, visited), "frontier")
-        if frontier.isEmpty():
+        if not near.size or not far.size or not hit.isEmpty():
             break
-        visited = visited.unionByName(frontier.select("node"))
-    hit = frontier.where(F.col("node") == goal)
+        (near if near.size <= far.size else far).grow()
+        hit = joined()
     return hit.select((F.size("path") - 1).cast("bigint").alias("hops"), "path")
 
 
-def _expand(frontier: DataFrame, edges: DataFrame, visited: DataFrame) -> DataFrame:
-    step = frontier.join(edges, frontier["node"] == edges["src"]).select(
-        F.col("dst").alias("node"), F.concat("path", F.array("dst")).alias("path")
-    )
-    return step.groupBy("node").agg(F.min("path").alias("path")).join(visited, "node", "left_anti")
-
-
-def reachable(edges: DataFrame, start: str, max_hops: int) -> DataFrame:
+def reachable(edges: list[Edges], start: str, max_hops: int) -> DataFrame:
     """Every node within ``max_hops`` and its distance."""
-    spark = edges.sparkSession
-    edges = stage(edges.distinct(), "edges")
-    frontier = spark.range(1).select(F.lit(start).alias("node"))
+    spark = edges[0].rows.sparkSession
+    label, key = _node(start)
+    frontier = spark.range(1).select(F.lit(label).alias("label"), F.lit(key).cast("bigint").alias("key"))
     seen = frontier.withColumn("hops", F.lit(0).cast("bigint"))
     for hop in range(1, max_hops + 1):
-        step = frontier.join(edges, frontier["node"] == edges["src"]).select(F.col("dst").alias("node")).distinct()
-        frontier = stage(step.join(seen.select("node"), "node", "left_anti"), "frontier")
+        step = _steps(frontier, edges).select("label", "key").distinct()
+        frontier = stage(step.join(seen, ["label", "key"], "left_anti"), "frontier")
         if frontier.isEmpty():
             break
         seen = seen.unionByName(frontier.withColumn("hops", F.lit(hop).cast("bigint")))
-    return seen
+    return seen.select(_named().alias("node"), "hops")
 
 
 def paths_up_to_two(bought: DataFrame, user_id: int) -> DataFrame:

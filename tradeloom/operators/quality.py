@@ -73,6 +73,43 @@ class Rule:
         return out
 
 
+    def broken_in(self, document: Column) -> list[Column]:
+        """The checks on a field of a VARIANT document, by the type the value came with.
+
+        An absent field breaks ``required`` only; a null is there and has no
+        type.  Bounds are held against numbers only, lengths and patterns
+        against strings, item counts against arrays, as a JSON schema does.
+        """
+        value = F.try_variant_get(document, f"$.{self.field}", "variant")
+        kind = F.schema_of_variant(value)
+        number = F.when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get(document, f"$.{self.field}", "decimal(38,9)"))
+        text = F.when(kind == "STRING", F.try_variant_get(document, f"$.{self.field}", "string"))
+        out = []
+
+        def add(check: str, bad: Column) -> None:
+            out.append(F.when(bad, F.lit(f"{self.field}.{check}")))
+
+        if self.required:
+            add("required", value.isNull())
+        if self.kind is not None:
+            right = text.isNotNull() if self.kind == "string" else F.coalesce(number == F.floor(number), F.lit(False))
+            add("type", value.isNotNull() & ~right)
+        if self.minimum is not None:
+            add("minimum", number < self.minimum)
+        if self.maximum is not None:
+            add("maximum", number > self.maximum)
+        if self.min_length is not None:
+            add("minLength", F.length(text) < self.min_length)
+        if self.max_length is not None:
+            add("maxLength", F.length(text) > self.max_length)
+        if self.pattern is not None:
+            add("pattern", ~text.rlike(self.pattern))
+        if self.max_items is not None:
+            items = F.when(kind.startswith("ARRAY"), F.try_variant_get(document, f"$.{self.field}", "array<variant>"))
+            add("maxItems", F.size(items) > self.max_items)
+        return out
+
+
 # The business rules of the two document collections.
 PRODUCT_RULES = [
     Rule("name", required=True, kind="string", min_length=1, max_length=500),
@@ -95,6 +132,18 @@ def broken_rules(df: DataFrame, rules: list[Rule], name: str = "broken") -> Data
     return df.withColumn(name, F.array_compact(F.array(*checks, *missing)))
 
 
+def broken_json_rules(df: DataFrame, body: str, rules: list[Rule], name: str = "broken") -> DataFrame:
+    """Add the list of broken checks to each document given as JSON text.
+
+    Values keep the type they came with: a number in a text field is reported.
+    A body that is null or no JSON, or no object, breaks ``document.type`` alone.
+    """
+    document = F.try_parse_json(F.col(body))
+    is_object = F.coalesce(F.schema_of_variant(document).startswith("OBJECT"), F.lit(False))
+    checks = F.array_compact(F.array(*[check for rule in rules for check in rule.broken_in(document)]))
+    return df.withColumn(name, F.when(is_object, checks).otherwise(F.array(F.lit("document.type"))))
+
+
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key, the first by ``order``."""
     return top_per_group(df, keys, order, 1)

@@ -12,7 +12,7 @@ from tradeloom.operators.rollups import COUNTERS, ROLLUP_KEYS, fold
 from tradeloom.plans.snapshots import SnapshotTable
 from tradeloom.sources.tables import read_outbox_increment, write_dead_letters
 from tradeloom.streaming.envelopes import dead_letters, rekey, split_envelopes, timed
-from tradeloom.streaming.windows import COUNT_KEYS, COUNT_SCHEMA, windowed_count
+from tradeloom.streaming.windows import COUNT_KEYS, COUNT_SCHEMA, mark_late_stream, windowed_count
 
 ROLLUP_SCHEMAS = {
     "category": "date date, category_id bigint, orders_count bigint, reviewed_count bigint, rating_sum bigint, review_count bigint",
@@ -83,6 +83,13 @@ def audit_events(
     return start(records, _held(each), checkpoint, "append", every)
 
 
+def mark_late_events(records: DataFrame, ts_ms: str, path: str, checkpoint: str, every: str | None = None, **rule: int) -> StreamingQuery:
+    """Every record with its stream time and whether it came too late, to a folder that a replayed batch does not change."""
+    marked = mark_late_stream(records, ts_ms, **rule)
+    writer = marked.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start(path)
+
+
 def type_table(spark: SparkSession, path: str) -> SnapshotTable:
     """Table of running counts per event type, in hash buckets: the types are free text."""
     bucket = F.pmod(F.xxhash64("event_type"), F.lit(16))

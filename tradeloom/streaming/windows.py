@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tradeloom.plans.ordered import running_max
 
@@ -48,3 +54,38 @@ def mark_late(
     timed = running_max(records, partition, offset, ts_ms, "stream_time", chunk_rows)
     window_end = F.col(ts_ms) - F.pmod(F.col(ts_ms), F.lit(size_ms)) + size_ms
     return timed.withColumn("late", window_end <= F.col("stream_time") - grace_ms)
+
+
+def mark_late_stream(
+    records: DataFrame,
+    ts_ms: str,
+    partition: str = "partition",
+    offset: str = "offset",
+    size_ms: int = 60_000,
+    grace_ms: int = 30_000,
+) -> DataFrame:
+    """``mark_late`` on a stream: the state of a topic partition is its largest time so far.
+
+    A batch may bring its records in any order; they are taken by offset, and
+    batches follow each other in offset order, as a topic's do.  A record
+    without a time neither moves the stream time nor is it late.  One task
+    sorts a partition's share of a batch, so the source's limit on a batch
+    (``files_per_batch``, ``maxOffsetsPerTrigger``) bounds its memory.
+    """
+    out = T.StructType([*records.schema.fields, T.StructField("stream_time", T.LongType()), T.StructField("late", T.BooleanType())])
+    none = np.iinfo(np.int64).min
+
+    def run(_: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(parts)).sort_values(offset, kind="stable")
+        timed = rows[ts_ms].notna().to_numpy()
+        own = rows[ts_ms].where(timed, 0).to_numpy().astype(np.int64)
+        top = state.get[0] if state.exists else none
+        seen = np.maximum(np.maximum.accumulate(np.where(timed, own, none)), top)
+        state.update((int(seen[-1]),))
+        end = own - own % size_ms + size_ms
+        late = pd.Series(timed & (seen > none) & (end <= np.where(seen > none, seen, 0) - grace_ms), index=rows.index)
+        yield rows.assign(stream_time=pd.array(seen, dtype="Int64").astype(object), late=late.astype(object)).assign(
+            stream_time=lambda r: r["stream_time"].where(seen > none, None), late=lambda r: r["late"].where(timed, None)
+        )
+
+    return records.groupBy(partition).applyInPandasWithState(run, out, "top bigint", "append", GroupStateTimeout.NoTimeout)
