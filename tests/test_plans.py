@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from bench import fan_out_customer_stats
 from tests.conftest import plan_text, rows
 from tradeloom.catalog import REGISTRY
 from tradeloom.functions.hashing import mix, pick
@@ -36,7 +37,7 @@ def test_unused_review_order_join_disappears(market):
 def test_children_are_folded_before_they_meet(market):
     plan = plan_text(reports.customer_stats(market.users, market.orders, market.reviews, k=None))
     assert "Expand" not in plan  # no multi-distinct
-    naive = plan_text(reports.naive_customer_stats(market.users, market.orders, market.reviews))
+    naive = plan_text(fan_out_customer_stats(market.users, market.orders, market.reviews))
     assert "Expand" in naive
 
 

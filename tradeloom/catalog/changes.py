@@ -281,10 +281,12 @@ def _(m: Market):
 @query(
     "repeated_review_pairs",
     "C1",
-    check_sql("reviews", "SELECT user_id, good_id, count(*) AS n FROM reviews GROUP BY 1, 2 HAVING count(*) > 1"),
+    check_sql("reviews", "SELECT user_id, good_id, 1 + count(*) FILTER (rating = 5) + count(*) FILTER (rating >= 4) AS n FROM reviews WHERE rating >= 4 GROUP BY 1, 2"),
 )
 def _(m: Market):
-    return quality.duplicate_keys(m.reviews, ["user_id", "good_id"])
+    """Good reviews come in a second time, the best ones a third time."""
+    again = m.reviews.where("rating >= 4").unionByName(m.reviews.where("rating = 5"))
+    return quality.duplicate_keys(m.reviews.unionByName(again), ["user_id", "good_id"])
 
 
 @query(

@@ -282,7 +282,7 @@ def _(m: Market):
                   CASE s % 7 WHEN 0 THEN 'merchant_id.type' WHEN 1 THEN 'merchant_id.type' WHEN 2 THEN 'merchant_id.minimum'
                              WHEN 3 THEN 'merchant_id.required' WHEN 4 THEN 'merchant_id.type' END,
                   CASE s % 3 WHEN 0 THEN 'category_id.type' END,
-                  CASE s % 4 WHEN 0 THEN 'good_id.type' WHEN 1 THEN 'good_id.minimum' END) END AS broken
+                  CASE WHEN s % 4 = 0 THEN 'good_id.type' WHEN s % 4 = 1 OR good_id < 1 THEN 'good_id.minimum' END) END AS broken
            FROM (SELECT good_id, CAST(p_size AS INTEGER) AS s FROM products)""",
     ),
 )

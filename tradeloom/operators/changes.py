@@ -6,13 +6,12 @@ the result, write it with ``plans.snapshots``.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.operators.quality import keep_first
 from tradeloom.plans.ordered import row_index
+from tradeloom.plans.staging import stage
 
 
 def insert(df: DataFrame, rows: DataFrame, **stamps: Column) -> DataFrame:
@@ -89,22 +88,23 @@ def cascade_delete(tables: dict[str, DataFrame], table: str, keys: DataFrame) ->
 
     Returns the tables after the delete and, per ``child.foreign_key``, the
     surviving rows that a RESTRICT rule says must not lose their parent.  The
-    delete is allowed only when all of those are empty.
+    delete is allowed only when all of those are empty.  The keys that go are
+    written down table by table, so a child meets its parents' lost keys in one
+    scan of its own and no parent is worked out again.
     """
     primary = {t: k for _, _, t, k, _ in FOREIGN_KEYS} | {"reviews": "id", "purchase_history": "id", "orders": "id"}
-    gone = {table: tables[table].join(keys.select(primary[table]), primary[table], "left_semi")}
+    gone = {table: stage(tables[table].join(keys.select(primary[table]), primary[table], "left_semi").select(primary[table]).distinct(), "gone")}
     # Parents before children, so each table is visited once.
     for child in ("users", "categories", "addresses", "goods", "orders", "reviews", "purchase_history", "pickup_points", "warehouses"):
         if child == table or child not in tables:
             continue
-        hits = []
+        hits, rows = [], tables[child]
         for c, fk, parent, pk, rule in FOREIGN_KEYS:
             if c == child and parent in gone and rule == "cascade":
-                lost = gone[parent].select(F.col(pk).alias(fk))
-                hits.append(tables[child].join(lost, fk, "left_semi").select(primary.get(child, "id")))
+                hits.append(f"_gone_{fk}")
+                rows = rows.join(gone[parent].select(F.col(pk).alias(fk), F.lit(True).alias(hits[-1])), fk, "left")
         if hits:
-            lost_keys = reduce(DataFrame.union, hits).distinct()
-            gone[child] = tables[child].join(lost_keys, primary.get(child, "id"), "left_semi")
+            gone[child] = stage(rows.where(F.coalesce(*hits, F.lit(False))).select(primary.get(child, "id")).distinct(), "gone")
     after = {
         t: df.join(gone[t].select(primary.get(t, "id")), primary.get(t, "id"), "left_anti") if t in gone else df
         for t, df in tables.items()

@@ -70,9 +70,8 @@ def moving_ratings(goods: DataFrame, reviews: DataFrame, rows: int = 3, split: b
 def category_share(categories: DataFrame, goods: DataFrame, orders: DataFrame) -> DataFrame:
     """Orders per category and their share of all orders.
 
-    With a category table of ordinary size the total is a window over the one
-    row per category; with a huge one it is a scalar subquery, which gathers
-    nothing but costs the counts a second time.
+    The total is a scalar subquery over the one row per category, so no row of
+    the report waits for all others in one task.
     """
     per_good = orders.groupBy("good_id").agg(F.count(F.lit(1)).alias("_n"))
     per_category = (

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions.dialect import nulls_first, nulls_last, ratio, ratio_half_even, ratio_half_up, top_k
+from tradeloom.functions.dialect import nulls_first, nulls_last, ratio_half_even, ratio_half_up, top_k
 from tradeloom.operators.joins import customers, merchants
 from tradeloom.plans.ordered import top_per_group
 
@@ -475,26 +475,3 @@ def leaderboard(scores: DataFrame, member: str, score: str) -> DataFrame:
 
 def score_range(board: DataFrame, low, high) -> DataFrame:
     return board.where(F.col("score").between(F.lit(low), F.lit(high)))
-
-
-def naive_customer_stats(users: DataFrame, orders: DataFrame, reviews: DataFrame) -> DataFrame:
-    """The fan-out form of ``customer_stats``; kept for equality tests and as
-    the baseline of the benchmark."""
-    joined = (
-        customers(users)
-        .join(orders.select("user_id", F.col("id").alias("oid")), "user_id", "left")
-        .join(reviews.select("user_id", F.col("id").alias("rid"), "rating"), "user_id", "left")
-    )
-    return (
-        joined.groupBy("user_id", F.col("name").alias("customer_name"))
-        .agg(
-            F.countDistinct("oid").alias("total_orders"),
-            F.countDistinct("rid").alias("total_reviews"),
-            ratio_half_up(F.sum("rating"), F.count("rating")).alias("avg_rating_given"),
-        )
-        .where(F.col("total_orders") > 0)
-    )
-
-
-def mean_rating(total: Column | str, count: Column | str) -> Column:
-    return ratio(total, count)
