@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.catalog.base import check_sql, query
 from tradeloom.operators import changes, quality
+from tradeloom.operators.maintained import OrphanWatch
 from tradeloom.plans.staging import new_folder
 from tradeloom.sources.market import MERCHANT_BASE, Market
 
@@ -301,6 +302,34 @@ def _(m: Market):
     return quality.orphans(m.table("events"), "user_id", buyers, "o_custkey").select("event_id", "user_id")
 
 
+@query(
+    "orphans_by_change",
+    "C2",
+    """SELECT event_id, user_id FROM events WHERE user_id NOT IN
+       (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus IN ('F', 'P'))""",
+)
+def _(m: Market):
+    """Events without a buyer of urgent goods, kept over three batches.
+
+    Events come in two halves, the first with all buyers; then buyers without a finished urgent order go, and those with a partly
+    finished one return.
+    """
+    events = m.table("events").select(F.col("event_id").alias("child"), F.col("user_id").alias("key"), F.lit(1).cast("bigint").alias("n"))
+    urgent, state = F.col("o_orderpriority") == "1-URGENT", F.col("o_orderstatus")
+    buyers = (
+        m.table("orders")
+        .groupBy(F.col("o_custkey").alias("key"))
+        .agg(F.bool_or(urgent & (state == "F")).alias("done"), F.bool_or(urgent & (state == "P")).alias("partly"))
+    )
+    come, go = F.lit(1).cast("bigint").alias("n"), F.lit(-1).cast("bigint").alias("n")
+    early = F.pmod(F.xxhash64("child"), F.lit(2)) == 0
+    watch = OrphanWatch(m.spark, new_folder(m.spark, "orphans"))
+    watch.apply(buyers.select("key", come), events.where(early), 0)
+    watch.apply(buyers.where("NOT done").select("key", go), events.where(~early), 1)
+    watch.apply(buyers.where("NOT done AND partly").select("key", come), events.where(F.lit(False)), 2)
+    return watch.orphans().select(F.col("child").alias("event_id"), F.col("key").alias("user_id"))
+
+
 @query(
     "foreign_key_orphans",
     "C2",

@@ -63,8 +63,16 @@ class SnapshotTable:
     def last_batch(self) -> int:
         return self._latest()[1]
 
-    def read(self) -> DataFrame:
-        return self._read(self._latest()[2])
+    def read(self, parts: list[str] | None = None) -> DataFrame:
+        """Current rows; with ``parts`` only of these partitions, and no other file is opened."""
+        versions = self._latest()[2]
+        if parts is not None:
+            versions = {p: versions[p] for p in parts if p in versions}
+        return self._read(versions)
+
+    def parts_of(self, rows: DataFrame) -> list[str]:
+        """Labels of the partitions that ``rows`` belong to: at most as many as the log names."""
+        return [r["part"] for r in rows.select(self.part.alias("part")).distinct().collect()]
 
     def _read(self, versions: dict[str, str]) -> DataFrame:
         if not versions:
@@ -141,3 +149,12 @@ class SnapshotTable:
             return summed.select(*old.columns)
 
         return self.commit(batch, combine, batch_id)
+
+    def move(self, batch: DataFrame, count: str, batch_id: int) -> bool:
+        """Add a signed ``count`` by key and drop the keys at zero."""
+
+        def combine(old: DataFrame, new: DataFrame) -> DataFrame:
+            summed = old.unionByName(new).groupBy(*self.keys).agg(F.sum(count).alias(count))
+            return summed.where(F.col(count) != 0).select(*old.columns)
+
+        return self.commit(batch, combine, batch_id)
