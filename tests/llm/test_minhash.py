@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import ODD, frame, sentence
-from tradeloom.llm import minhash
+from tradeloom.llm import minhash, near_links
 
 
 def shingles(text, k=5):
@@ -60,10 +60,15 @@ def test_odd_rows(odd, spark):
 
 def test_nothing(nothing):
     assert minhash.compared_with_next(nothing).collect() == []
-    assert minhash.near_pairs(nothing)[0].collect() == []
+    assert near_links.near_pairs(nothing)[0].collect() == []
+    assert near_links.near_links(nothing).collect() == []
 
 
-def test_near_pairs_are_those_of_all_pairs(spark):
+@pytest.mark.parametrize("block_rows, block_bytes, broadcast", [(1024, 8 << 20, 10**6), (2, 8 << 20, 0), (1024, 2000, 10**6)])
+def test_near_pairs_are_those_of_all_pairs(spark, monkeypatch, block_rows, block_bytes, broadcast):
+    monkeypatch.setattr(near_links, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(near_links, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(near_links, "BROADCAST_ROWS", broadcast)
     rng = random.Random(6)
     rows = []
     for k in range(15):
@@ -74,14 +79,21 @@ def test_near_pairs_are_those_of_all_pairs(spark):
                 new[at] = f"n{rng.randrange(10**6)}"
             rows.append((10 * k + c, " ".join(new), "en", "a"))
         rows.append((10 * k + 9, " ".join(words), "en", "b"))
-    pairs, members = minhash.near_pairs(frame(spark, rows))
+    pairs, members = near_links.near_pairs(frame(spark, rows))
     name = {r.doc_id: r["class"] for r in members.collect()}
     text = {name[i]: t for i, t, _, _ in rows}
     want = {
         (a, b): jaccard(shingles(text[a]), shingles(text[b])) for a in text for b in text if a < b and jaccard(shingles(text[a]), shingles(text[b])) >= 0.8
     }
-    got = {(r.a, r.b): r.similarity for r in pairs.collect()}
-    assert len(want) > 10 and got == pytest.approx(want)
+    got = [(r.a, r.b, r.similarity) for r in pairs.collect()]
+    assert len(got) == len(want) > 10 and {(a, b): s for a, b, s in got} == pytest.approx(want)
+    links = {r.doc_id: r.links for r in near_links.near_links(frame(spark, rows)).collect()}
+    assert links == {i: sum(name[i] in pair for pair in want) for i, _, _, _ in rows}
+
+
+def test_links_of_odd_rows(odd):
+    got = sorted((repr(r.doc_id), r.links) for r in near_links.near_links(odd).collect())
+    assert got == sorted((repr(i), 0) for i, _, _, _ in ODD)
 
 
 def test_fingerprint_text_is_hexadecimal():

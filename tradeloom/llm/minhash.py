@@ -1,4 +1,4 @@
-"""MinHash fingerprints of texts, and near-duplicates by signature bands.
+"""MinHash fingerprints of texts; ``near_links`` finds near-duplicates with them.
 
 A text is the set of its five-word shingles.  Each of 128 hash functions of a
 universal family (multiply, add, keep the high half) gives its smallest value
@@ -23,8 +23,6 @@ SHINGLE_WORDS = 5
 PERMUTATIONS = 128
 # Bits of each smallest value that a fingerprint keeps.
 KEPT_BITS = 16
-BANDS = 32
-SIMILARITY = 0.8
 _U = np.uint64
 _A = mix(np.arange(1, PERMUTATIONS + 1, dtype=_U) * _U(0xD6E8FEB86659FD93)) | _U(1)
 _B = mix(np.arange(1, PERMUTATIONS + 1, dtype=_U) * _U(0xA5A3564E27F88693))
@@ -55,13 +53,13 @@ def signatures(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _shingle_hashes(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
+def shingle_hashes(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     start, end, bounds = shingle_ranges(words.first, k)
     return run_hashes(words.hashes(), start, end), bounds
 
 
 def text_signatures(texts: pa.Array, k: int = SHINGLE_WORDS) -> np.ndarray:
-    return signatures(*_shingle_hashes(find_words(texts), k))
+    return signatures(*shingle_hashes(find_words(texts), k))
 
 
 def kept(signature: np.ndarray) -> np.ndarray:
@@ -186,46 +184,3 @@ def _bucket(value: Column, limits: list[int]) -> Column:
         return F.when(value < limits[middle], between(low, middle)).otherwise(between(middle + 1, high))
 
     return between(0, len(limits))
-
-
-def near_pairs(docs: DataFrame, k: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """Near-duplicate texts: ``(a, b, similarity)`` between classes, and ``(doc_id, class)`` of every row.
-
-    A class is a text; its id is the text's xxhash64, so copies are one class
-    and never pair up.  Signatures are cut into 32 bands of 4 values; classes
-    that agree in a band are candidates, and the Jaccard similarity of their
-    shingle sets decides.  With 32 bands a pair of similarity 0.8 is missed
-    once in ten million.  Texts without words are a class without partners.
-    The number of rows is that of the links there are.
-    """
-    rows = PERMUTATIONS // BANDS
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            hashes, bounds = _shingle_hashes(find_words(part.column("text")), k)
-            values = signatures(hashes, bounds)
-            bands = np.zeros((BANDS, values.shape[1]), dtype=_U)
-            for r in range(rows):
-                bands = mix(bands * _U(0x9E3779B97F4A7C15) + values[r::rows].astype(_U) + _U(1))
-            sets = [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(bounds[:-1], bounds[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("class"),
-                    pa.array([list(x) for x in bands.T.view(np.int64)], pa.list_(pa.int64())),
-                    pa.array([x.tolist() for x in sets], pa.list_(pa.int64())),
-                ],
-                names=["class", "bands", "shingles"],
-            )
-
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    members = docs.select(F.col("doc_id"), F.xxhash64(text).alias("class"))
-    classes = docs.select(F.xxhash64(text).alias("class"), text.alias("text")).groupBy("class").agg(F.first("text").alias("text"))
-    signed = stage(classes.mapInArrow(run, "class bigint, bands array<bigint>, shingles array<bigint>"), "bands").where(F.size("shingles") > 0)
-    banded = signed.select("class", F.posexplode("bands").alias("band", "value"))
-    a, b = banded.withColumnRenamed("class", "a"), banded.withColumnRenamed("class", "b")
-    candidates = a.join(b, ["band", "value"]).where("a < b").select("a", "b").distinct()
-    sets = signed.select("class", "shingles")
-    both = candidates.join(sets.toDF("a", "one"), "a").join(sets.toDF("b", "two"), "b")
-    shared = F.size(F.array_intersect("one", "two"))
-    pairs = both.withColumn("similarity", shared / (F.size("one") + F.size("two") - shared))
-    return pairs.where(F.col("similarity") >= similarity).select("a", "b", "similarity"), members

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import alignment, decontamination, infill, language, minhash, mixing, quality, repeated_lines, repeats, sharding, simhash, token_counts, url_filters
+from tradeloom.llm import alignment, decontamination, infill, language, minhash, mixing, near_links, quality, repeated_lines, repeats, sharding, simhash, token_counts, url_filters
 from tradeloom.plans.staging import new_folder, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,6 +137,12 @@ def minhash_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("near_duplicate_links")
+def near_duplicate_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Links of operator 8's bands: every document with the number of different texts of similarity 0.8 or more."""
+    return near_links.near_links(table(spark, folder, "documents"))
+
+
 @query("op2_language")
 def language_of_documents(spark: SparkSession, folder: str) -> DataFrame:
     return language.identified(table(spark, folder, "documents"))
