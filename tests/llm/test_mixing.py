@@ -65,6 +65,17 @@ def test_reruns_and_partitions_agree(spark):
     assert key(one) == key(two)
 
 
+def test_equal_rows_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "_COPIES", 7)
+    rows = [(1, "a b c", "en", "a")] * 50 + [(2, "d e", "en", "a")] * 7 + [(3, "f", "en", "b")]
+    numbered = mixing._numbered(frame(spark, rows).select("doc_id", "text").repartition(5)).collect()
+    assert sorted((r.doc_id, r.nth) for r in numbered) == [(1, i) for i in range(50)] + [(2, i) for i in range(7)] + [(3, 0)]
+    one = mixing.copies(frame(spark, rows), bucket_rows=5, fan_in=2)
+    two = mixing.copies(frame(spark, rows[::-1]).repartition(7), bucket_rows=5, fan_in=2)
+    key = lambda df: sorted((r.doc_id, r.copies, r.part) for r in df.collect())
+    assert len(one.collect()) == 58 and key(one) == key(two)
+
+
 def test_every_document_is_taken_as_often_as_wanted():
     """Over many draws the mean of the settled fractions is the fraction."""
     rng = np.random.default_rng(5)

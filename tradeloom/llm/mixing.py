@@ -34,6 +34,7 @@ BUCKET_ROWS = 10_000
 FAN_IN = 256
 WORD = r"[^\x20\x09-\x0D]+"
 _CLOSE = 1e-9
+_COPIES = 10_000
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
@@ -100,6 +101,19 @@ def _settled(rows: pd.DataFrame) -> pd.DataFrame:
     return rows
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """The rows with a number ``nth`` that tells equal ones apart, the same in every run.
+
+    Equal rows are counted before they are shuffled and made again from the
+    count, in two steps so that no list is long.
+    """
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
+    chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / _COPIES)))
+    chunked = counted.withColumn("_chunk", chunk).withColumn("_first", F.col("_chunk") * _COPIES)
+    last = F.least(F.col("_first") + _COPIES, F.col("_n")) - 1
+    return chunked.select(*rows.columns, F.explode(F.sequence("_first", last)).alias("nth"))
+
+
 def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: float = CAP, bucket_rows: int = BUCKET_ROWS, fan_in: int = FAN_IN) -> DataFrame:
     """``(doc_id, copy, size, source_size, target, copies, part)``: one row per row of ``docs``.
 
@@ -109,21 +123,19 @@ def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = S
     repeated rows are drawn one by one; an empty table gives no rows.
     """
     text = F.col("text").cast("string")
-    rows = stage(
-        docs.select(
-            "doc_id",
-            F.col("source"),
-            text_hash().alias("copy"),
-            F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-        ),
-        "sizes",
+    sized = docs.select(
+        "doc_id",
+        F.col("source"),
+        text_hash().alias("copy"),
+        F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
     )
+    rows = stage(_numbered(sized), "sizes")
     targets = stage(source_targets(rows, weights, share, cap), "targets")
     named = targets.withColumnRenamed("source", "_source")
     joined = rows.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     base = F.floor(F.col("rate") + _CLOSE)
-    key = F.xxhash64("doc_id", "copy", "size")
+    key = F.xxhash64("doc_id", "copy", "size", "nth")
     wanted = (
         joined.withColumn("rate", rate)
         .withColumn("base", base.cast("bigint"))
@@ -131,7 +143,7 @@ def copies(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = S
         .withColumn("key", key)
         .withColumn("level", F.lit(0))
         .withColumn("bucket", F.pmod(F.xxhash64("key", F.lit(1)), F.ceil(F.col("docs") / bucket_rows)))
-        .drop("rate", "docs")
+        .drop("rate", "docs", "nth")
     )
     settled_at_once = (F.col("size") == 0) | (F.col("p") <= _CLOSE)
     done = wanted.where(settled_at_once).withColumn("p", F.lit(0.0)).withColumn("open", F.lit(False))
