@@ -188,64 +188,82 @@ def _shared(one: list[np.ndarray], two: list[np.ndarray] | None) -> np.ndarray:
     return out
 
 
-def _verified(k: int, similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _compared(batches: Iterator[pa.RecordBatch], k: int, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per tile the classes of both sides, the similarity of every two, and which are links."""
+    for rows, first in _tiles(batches):
+        classes = rows.column("class").to_numpy()
+        for low, high in zip(first[:-1].tolist(), first[1:].tolist()):
+            cut = _second_side(rows, low, high)
+            if cut is None:
+                continue
+            sets = []
+            for part in slices(iter([rows.slice(low, high - low)])):
+                hashes, bounds = shingle_hashes(find_words(part.column("text")), k)
+                sets += [np.unique(hashes[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+            size = np.array([len(s) for s in sets])
+            one, two = (sets[:cut], sets[cut:]) if cut else (sets, None)
+            a_size, b_size = (size[:cut], size[cut:]) if cut else (size, size)
+            common = _shared(one, two)
+            likeness = common / (a_size[:, None] + b_size[None, :] - common)
+            near = likeness >= similarity
+            if not cut:
+                near = np.triu(near, 1)
+            yield classes[low : low + len(one)], classes[low + cut : high], likeness, near
+
+
+def _pairs(k: int, similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, first in _tiles(batches):
-            classes = rows.column("class").to_numpy()
-            for low, high in zip(first[:-1].tolist(), first[1:].tolist()):
-                cut = _second_side(rows, low, high)
-                if cut is None:
-                    continue
-                sets = []
-                for part in slices(iter([rows.slice(low, high - low)])):
-                    hashes, bounds = shingle_hashes(find_words(part.column("text")), k)
-                    sets += [np.unique(hashes[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
-                size = np.array([len(s) for s in sets])
-                one, two = (sets[:cut], sets[cut:]) if cut else (sets, None)
-                common = _shared(one, two)
-                a_size, b_size = (size[:cut], size[cut:]) if cut else (size, size)
-                likeness = common / (a_size[:, None] + b_size[None, :] - common)
-                near = likeness >= similarity
-                if not cut:
-                    near = np.triu(near, 1)
-                x, y = np.nonzero(near)
-                one_class, two_class = classes[low + x], classes[low + cut + y]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(one_class, two_class)), pa.array(np.maximum(one_class, two_class)), pa.array(likeness[x, y])],
-                    names=["a", "b", "similarity"],
-                )
+        for one, two, likeness, near in _compared(batches, k, similarity):
+            x, y = np.nonzero(near)
+            ends = [np.minimum(one[x], two[y]), np.maximum(one[x], two[y]), likeness[x, y]]
+            yield pa.RecordBatch.from_arrays([pa.array(e) for e in ends], names=["a", "b", "similarity"])
 
     return run
 
 
-def near_pairs(docs: DataFrame, k: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """Near-duplicate texts: ``(a, b, similarity)`` between classes, and ``(doc_id, class)`` of every row.
+def _counts(k: int, similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Links of each text inside a tile: a row per text, however many links there are."""
 
-    A class is a text; its id is the text's xxhash64, so copies are one class
-    and never pair up; null texts are empty.  The Jaccard similarity of the
-    sets of ``k``-word shingles is that of the whole texts.  A pair of
-    similarity 0.8 shares none of the 32 bands once in ten million.  Texts
-    without words are a class without partners.  The number of rows is that of
-    the links there are; ``near_links`` only counts them.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for one, two, _, near in _compared(batches, k, similarity):
+            classes, links = np.concatenate([one, two]), np.concatenate([near.sum(axis=1), near.sum(axis=0)])
+            some = links > 0
+            yield pa.RecordBatch.from_arrays([pa.array(classes[some]), pa.array(links[some].astype(np.int64))], names=["class", "links"])
+
+    return run
+
+
+def _text_tiles(docs: DataFrame, k: int) -> DataFrame:
+    """The texts that may have a partner, once each, in the tiles of their group."""
     signed = _signed(docs, k)
     groups = _groups(signed)
     sizes = groups.join(signed.select("class", "bytes"), "class").groupBy("unit").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("bytes") / BLOCK_BYTES)).alias("most")
     )
-    # One row per text that may have a partner.
     wanted = stage(groups.join(sizes, "unit"), "wanted")
     few = wanted.count() <= BROADCAST_ROWS
     texts = docs.select(text_hash().alias("class"), F.col("text").cast("string").alias("text"))
     found = texts.join(F.broadcast(wanted) if few else wanted, "class").dropDuplicates(["class"])
-    tiles = _in_tiles(found.select("unit", "class", "text", "most"), F.col("most"))
-    pairs = tiles.select("unit", "i", "j", "block", "class", "text").mapInArrow(_verified(k, similarity), "a bigint, b bigint, similarity double")
+    return _in_tiles(found.select("unit", "class", "text", "most"), F.col("most")).select("unit", "i", "j", "block", "class", "text")
+
+
+def near_pairs(docs: DataFrame, k: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """Near-duplicate texts: ``(a, b, similarity)`` between classes, and ``(doc_id, class)`` of every row.
+
+    A class is a text; its id is the text's xxhash64, so copies are one class
+    and never pair up; null texts are empty.  The Jaccard similarity of the
+    sets of ``k``-word shingles is that of the whole texts.  A pair of
+    similarity 0.8 shares none of the 32 bands once in ten million.  Texts
+    without words are a class without partners.  The number of rows is that of
+    the links there are; ``near_links`` only counts them.
+    """
+    pairs = _text_tiles(docs, k).mapInArrow(_pairs(k, similarity), "a bigint, b bigint, similarity double")
     return pairs, docs.select("doc_id", text_hash().alias("class"))
 
 
 def near_links(docs: DataFrame, k: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """``(doc_id, class, links)`` per row: the class of its text and the number of other texts near it."""
-    pairs, members = near_pairs(docs, k, similarity)
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("class"))
-    counts = ends.groupBy("class").agg(F.count(F.lit(1)).alias("links"))
+    counted = _text_tiles(docs, k).mapInArrow(_counts(k, similarity), "class bigint, links bigint")
+    counts = counted.groupBy("class").agg(F.sum("links").alias("links"))
+    members = docs.select("doc_id", text_hash().alias("class"))
     return members.join(counts, "class", "left").select("doc_id", "class", F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
