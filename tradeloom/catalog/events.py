@@ -16,7 +16,7 @@ from tradeloom.sources.events import read_events
 from tradeloom.sources.market import Market
 from tradeloom.sources.outbox import read_outbox_stream
 from tradeloom.sources.tables import read_outbox_increment, trim_outbox, write_dead_letters
-from tradeloom.streaming import envelopes, jobs, windows
+from tradeloom.streaming import envelopes, jobs, market, windows
 
 # ---------------------------------------------------------------- the records
 
@@ -387,21 +387,51 @@ def _(m: Market):
     return _feed(m)[0].select("order_id", "user_id", "good_id", "price")
 
 
+_FEED_SAID = f"""
+  SELECT review_id, order_id, user_id, good_id, {mix_sql('review_id', 85)} % 5 + 1 AS rating, event_id AS tick, pick FROM (
+    SELECT r.review_id, r.event_id, f.*, row_number() OVER (PARTITION BY user_id, good_id ORDER BY review_id) AS pick
+    FROM (SELECT review_id, event_id, {mix_sql('review_id', 84)} % ((event_id + 1) * 3) + 1 AS order_id
+          FROM (SELECT event_id, event_id * 2 + i + 1 AS review_id FROM events, (SELECT unnest([0, 1]) AS i))) r
+    JOIN f USING (order_id))"""
+_FEED_KEPT = check_sql(
+    "users goods", "SELECT review_id, order_id, user_id, good_id, rating FROM said WHERE pick = 1", f=_FEED_ORDERS, said=_FEED_SAID
+)
+
+
+@query("feed_reviews", "S13 M2", _FEED_KEPT)
+def _(m: Market):
+    return _feed(m)[1].select("review_id", "order_id", "user_id", "good_id", "rating")
+
+
+def _endless_feed(m: Market) -> market.EndlessFeed:
+    """As many ticks as there are events, in three batches of one checkpoint."""
+    ticks = m.table("events").count()
+    feed, progress = market.EndlessFeed(m.spark, new_folder(m.spark, "feed")), new_folder(m.spark, "progress")
+    for _ in range(3):
+        feed.run(m.users, m.goods, progress, "2024-01-01", -(-ticks // 3), ticks).awaitTermination()
+    return feed
+
+
+@query("streamed_feed_reviews", "S13 M2", _FEED_KEPT)
+def _(m: Market):
+    return _endless_feed(m).reviews.read().drop("review_ts")
+
+
 @query(
-    "feed_reviews",
+    "streamed_feed_runs",
     "S13 M2",
     check_sql(
         "users goods",
-        f"""SELECT review_id, order_id, user_id, good_id, {mix_sql('review_id', 85)} % 5 + 1 AS rating FROM (
-              SELECT r.review_id, f.*, row_number() OVER (PARTITION BY user_id, good_id ORDER BY review_id) AS pick
-              FROM (SELECT review_id, {mix_sql('review_id', 84)} % ((event_id + 1) * 3) + 1 AS order_id
-                    FROM (SELECT event_id, event_id * 2 + i + 1 AS review_id FROM events, (SELECT unnest([0, 1]) AS i))) r
-              JOIN f USING (order_id)) WHERE pick = 1""",
+        """SELECT tick // ((n + 2) // 3) AS batch, count(*) // 2 AS ticks, count(*) AS said, count(*) FILTER (pick = 1) AS kept,
+                  count(*) FILTER (pick > 1) AS skipped
+           FROM said, (SELECT count(*) AS n FROM events) GROUP BY 1""",
         f=_FEED_ORDERS,
+        said=_FEED_SAID,
     ),
 )
 def _(m: Market):
-    return _feed(m)[1].select("review_id", "order_id", "user_id", "good_id", "rating")
+    """What each batch of the endless feed said, kept and skipped as a second review of the same good."""
+    return _endless_feed(m).runs.read()
 
 
 @query(

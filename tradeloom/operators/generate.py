@@ -8,12 +8,15 @@ few joins to hand out goods and categories.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.hashing import chance, mix, pick, pick_from
-from tradeloom.operators.joins import assign_by_hash, customers
+from tradeloom.operators.joins import assign_by_hash, assign_from, customers, numbered_pool
 from tradeloom.operators.rankings import enumerated, shuffled
+from tradeloom.plans.ordered import top_per_group
 
 # Word lists of the sample data.
 FIRST_NAMES = [
@@ -287,28 +290,44 @@ def business_events(ids: DataFrame, at: Column, seed: int = 71, types: list[str]
     )
 
 
-def event_feed(ticks: DataFrame, users_: DataFrame, goods_: DataFrame, start: str, seed: int = 81) -> tuple[DataFrame, DataFrame]:
-    """Order and review feed: three orders and two reviews per tick.
+@dataclass(frozen=True)
+class Feed:
+    """Orders and reviews by tick: three orders and two reviews each, a review for one of the orders made so far.
 
-    A review is for one of the orders made so far; a second review of the same
-    good by the same user is skipped.  ``ticks`` has a dense ``tick`` from 0.
+    Every row is a function of its number, the order behind a review too, so
+    any set of ticks gives its own rows without looking at other ticks.
+    ``customers`` and ``goods`` are numbered pools (``numbered_pool``).
     """
-    at = F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("tick"))
-    sold = ticks.select("tick", at.alias("order_ts"), F.explode(F.array(*[F.lit(i) for i in range(3)])).alias("_i"))
-    sold = sold.withColumn("order_id", F.col("tick") * 3 + F.col("_i") + 1)
-    sold = assign_by_hash(sold, "order_id", customers(users_), "user_id", seed)
-    sold = assign_by_hash(sold, "order_id", goods_, "good_id", seed + 1)
-    orders_ = sold.select(
-        "order_id", "user_id", "good_id", "order_ts",
-        ((pick("order_id", 49001, seed + 2) + 1000) / 100.0).alias("price"),
-    )
-    said = ticks.select("tick", at.alias("review_ts"), F.explode(F.array(*[F.lit(i) for i in range(2)])).alias("_i"))
-    said = said.withColumn("review_id", F.col("tick") * 2 + F.col("_i") + 1)
-    said = said.withColumn("order_id", pick("review_id", (F.col("tick") + 1) * 3, seed + 3) + 1)
-    made = said.join(orders_.select("order_id", "user_id", "good_id"), "order_id")
-    from tradeloom.operators.quality import keep_first
-
-    reviews_ = keep_first(made, ["user_id", "good_id"], ["review_id"]).select(
-        "review_id", "order_id", "user_id", "good_id", (pick("review_id", 5, seed + 4) + 1).alias("rating"), "review_ts"
-    )
-    return orders_, reviews_
+
+    customers: tuple[DataFrame, Column]
+    goods: tuple[DataFrame, Column]
+    start: str
+    seed: int = 81
+
+    def _rows(self, ticks: DataFrame, each: int, at: str, number: str) -> DataFrame:
+        time = F.lit(self.start).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("tick"))
+        rows = ticks.select("tick", time.alias(at), F.explode(F.array(*[F.lit(i) for i in range(each)])).alias("_i"))
+        return rows.withColumn(number, F.col("tick") * each + F.col("_i") + 1)
+
+    def _parties(self, rows: DataFrame) -> DataFrame:
+        return assign_from(assign_from(rows, "order_id", *self.customers, self.seed), "order_id", *self.goods, self.seed + 1)
+
+    def orders(self, ticks: DataFrame) -> DataFrame:
+        return self._parties(self._rows(ticks, 3, "order_ts", "order_id")).select(
+            "order_id", "user_id", "good_id", "order_ts",
+            ((pick("order_id", 49001, self.seed + 2) + 1000) / 100.0).alias("price"),
+        )
+
+    def reviews(self, ticks: DataFrame) -> DataFrame:
+        """All reviews of the ticks; a user may review a good more than once here."""
+        said = self._rows(ticks, 2, "review_ts", "review_id")
+        said = said.withColumn("order_id", pick("review_id", (F.col("tick") + 1) * 3, self.seed + 3) + 1)
+        return self._parties(said).select(
+            "review_id", "order_id", "user_id", "good_id", (pick("review_id", 5, self.seed + 4) + 1).alias("rating"), "review_ts"
+        )
+
+
+def event_feed(ticks: DataFrame, users_: DataFrame, goods_: DataFrame, start: str, seed: int = 81) -> tuple[DataFrame, DataFrame]:
+    """Order and review feed of all ticks at once: a second review of the same good by the same user is skipped."""
+    feed = Feed(numbered_pool(customers(users_), "user_id"), numbered_pool(goods_, "good_id"), start, seed)
+    return feed.orders(ticks), top_per_group(feed.reviews(ticks), ["user_id", "good_id"], ["review_id"], 1)

@@ -185,12 +185,21 @@ def review_orders(reviews: DataFrame, orders: DataFrame) -> DataFrame:
     return reviews.join(matched, "id", "left").withColumn("order_id", F.coalesce("order_id", F.lit(0)))
 
 
-def assign_by_hash(keys: DataFrame, key: str, pool: DataFrame, member: str, seed: int = 0) -> DataFrame:
-    """Give every key one member of ``pool`` by hash of the key.
+def numbered_pool(pool: DataFrame, member: str) -> tuple[DataFrame, Column]:
+    """Members numbered 1..n in their order, and n: what ``assign_from`` hands out."""
+    numbered = row_index(pool.select(member), [], [member], number="_slot")
+    return numbered, pool.select(F.count(F.lit(1))).scalar()
+
+
+def assign_from(keys: DataFrame, key: str, numbered: DataFrame, size: Column, seed: int = 0) -> DataFrame:
+    """Give every key one member of a numbered pool by hash of the key.
 
-    The pool is numbered 1..n and joined on the computed number: an equi join
-    on an expression, so it stays a hash join at any size.
+    The pool is joined on the computed number: an equi join on an expression,
+    so it stays a hash join at any size.
     """
-    numbered = row_index(pool.select(member), [], [member], number="_slot")
-    size = pool.select(F.count(F.lit(1))).scalar()
     return keys.withColumn("_slot", pick(key, size, seed) + 1).join(numbered, "_slot").drop("_slot")
+
+
+def assign_by_hash(keys: DataFrame, key: str, pool: DataFrame, member: str, seed: int = 0) -> DataFrame:
+    """Give every key one member of ``pool`` by hash of the key."""
+    return assign_from(keys, key, *numbered_pool(pool, member), seed)

@@ -24,8 +24,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradeloom.plans.ordered import top_per_group
 from tradeloom.plans.sizing import MIB, source_bytes
-from tradeloom.plans.staging import delete_folder, list_names, read_text, write_text
+from tradeloom.plans.staging import delete_folder, list_names, read_text, stage, write_text
 
 # What one writer should take of one partition, and how many may run at most.
 FILE_ROWS = 2_000_000
@@ -141,6 +142,28 @@ class SnapshotTable:
         """Replace rows by key."""
         return self.commit(batch, lambda old, new: old.join(new, self.keys, "left_anti").unionByName(new), batch_id)
 
+    def insert_new(self, batch: DataFrame, order: list[str], batch_id: int) -> tuple[int, int] | None:
+        """Add the rows whose key is not taken, of equal new keys the first by ``order``; None if seen before.
+
+        Returns how many rows were added and how many skipped.  A key with a
+        null in it conflicts with nothing, as under a unique constraint.  Only
+        the rows of the touched partitions are looked at, so ``part`` must be
+        derived from the key.
+        """
+        batch = stage(batch, "offered")
+        keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.keys])
+        added: list[DataFrame] = []
+
+        def combine(old: DataFrame, new: DataFrame) -> DataFrame:
+            first = top_per_group(new.where(keyed), self.keys, order, 1).join(old, self.keys, "left_anti")
+            added.append(stage(first.select(*old.columns).unionByName(new.where(~keyed)), "added"))
+            return old.unionByName(added[0])
+
+        if not self.commit(batch, combine, batch_id):
+            return None
+        taken = added[0].count() if added else 0
+        return taken, batch.count() - taken
+
     def add(self, batch: DataFrame, counters: list[str], batch_id: int) -> bool:
         """Add counters by key."""
 

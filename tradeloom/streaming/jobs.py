@@ -30,7 +30,7 @@ def start(
     return writer.start()
 
 
-def _held(each: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+def held(each: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """Keep a batch for the several actions of its sink, then let it go."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -59,7 +59,7 @@ def count_events(
         table.upsert(batch.withColumn("ingested_at", F.current_timestamp()), batch_id)
 
     counts = windowed_count(timed(rekey(records), record_time), **window)
-    return start(counts, _held(each), checkpoint, "update", every)
+    return start(counts, held(each), checkpoint, "update", every)
 
 
 def audit_events(
@@ -80,7 +80,7 @@ def audit_events(
         bad = dead_letters(invalid, consumer)
         write_dead_letters(bad, f"{dead_path}/batch={batch_id}", mode="overwrite")
 
-    return start(records, _held(each), checkpoint, "append", every)
+    return start(records, held(each), checkpoint, "append", every)
 
 
 def mark_late_events(records: DataFrame, ts_ms: str, path: str, checkpoint: str, every: str | None = None, **rule: int) -> StreamingQuery:
@@ -100,7 +100,7 @@ def count_types(records: DataFrame, path: str, checkpoint: str, every: str | Non
     """Running counter per event type of the valid events -> keyed table, newest count wins."""
     table = type_table(records.sparkSession, path)
     counts = rekey(split_envelopes(records)[0]).groupBy(F.col("key").alias("event_type")).agg(F.count(F.lit(1)).alias("n"))
-    return start(counts, _held(lambda batch, batch_id: table.upsert(batch, batch_id)), checkpoint, "update", every)
+    return start(counts, held(lambda batch, batch_id: table.upsert(batch, batch_id)), checkpoint, "update", every)
 
 
 def rollup_tables(spark: SparkSession, path: str) -> dict[str, SnapshotTable]:
@@ -128,7 +128,7 @@ def maintain_rollups(
         for kind in kinds:
             tables[kind].add(fold(batch, ROLLUP_KEYS[kind]), COUNTERS, batch_id)
 
-    return start(deltas, _held(each), checkpoint, "append", every)
+    return start(deltas, held(each), checkpoint, "append", every)
 
 
 def poll_outbox(outbox: DataFrame, table: SnapshotTable, sink: Callable[[DataFrame, int], None], batch_id: int) -> int:
