@@ -251,6 +251,20 @@ def test_wide_partition_gets_several_writers(spark, tmp_path, monkeypatch):
     assert len(files) > 3 and table.read().count() == 1000
 
 
+def test_uneven_partitions_are_dealt_evenly(spark, tmp_path):
+    size = F.when(F.col("k") < 40_000, "small").when(F.col("k") < 50_000, "tiny").otherwise("large")
+    table = SnapshotTable(spark, str(tmp_path / "u"), "k bigint, v string", ["k"], size)
+    new = spark.range(400_000).selectExpr("id as k", "'x' as v")
+    table.upsert(new, 0)
+    # A change of few rows rewrites what is stored, by as many writers.
+    table.upsert(spark.createDataFrame([(7, "y"), (399_999, "y"), (400_000, "y")], "k bigint, v string"), 1)
+    for version in (tmp_path / "u" / "data").iterdir():
+        files = [spark.read.parquet(str(f)).count() for f in version.rglob("*.parquet")]
+        assert max(files) < 110_000 and len(files) < 9
+    assert rows(table.read().groupBy("v").count()) == [("x", 399_998), ("y", 3)]
+    assert table.read().select("k").distinct().count() == 400_001
+
+
 def test_outbox_resumes_after_the_stored_mark(spark, tmp_path):
     marks = jobs.outbox_marks(spark, str(tmp_path / "marks"))
     box = spark.createDataFrame([(i, f"t{i % 2}") for i in range(1, 6)], "id bigint, event_type string")

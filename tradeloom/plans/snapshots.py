@@ -28,9 +28,10 @@ from tradeloom.plans.ordered import top_per_group
 from tradeloom.plans.sizing import MIB, source_bytes
 from tradeloom.plans.staging import delete_folder, list_names, read_text, stage, write_text
 
-# What one writer should take of one partition, and how many may run at most.
+# What one writer should take at most, what is not worth another writer, and how many may run at most.
 FILE_ROWS = 2_000_000
 FILE_BYTES = 128 * MIB
+SMALL_ROWS = 100_000
 MAX_WRITERS = 10_000
 # States that stay readable behind the current one.
 KEEP = 10
@@ -89,6 +90,32 @@ class SnapshotTable:
         ]
         return reduce(DataFrame.unionByName, pieces).drop("part")
 
+    def _writers(self, sizes: dict[str, int], touched: dict[str, str], old: DataFrame) -> tuple[Column, int]:
+        """The writer of a row, and how many there are.
+
+        Every core gets its share.  A partition larger than a share is dealt by
+        key over writers of its own, as many as its rows ask for; the others go
+        whole to one of the rest.
+        """
+        stored = {r["part"]: r["count"] for r in old.groupBy(self.part.alias("part")).count().collect()} if touched else {}
+        rows = {p: n + stored.get(p, 0) for p, n in sizes.items()}
+        total, cores = sum(rows.values()), self.spark.sparkContext.defaultParallelism
+        most = FILE_ROWS
+        if stored:
+            most = min(most, max(1, FILE_BYTES * sum(stored.values()) // max(1, source_bytes(old))))
+        share = max(min(most, max(SMALL_ROWS, total // (2 * cores))), 2 * total // MAX_WRITERS, 1)
+        first, own = 0, []
+        for p in sorted(p for p in rows if rows[p] > share):
+            n = -(-rows[p] // share)
+            own += [F.lit(p), F.struct(F.lit(first).alias("first"), F.lit(n).alias("n"))]
+            first += n
+        rest = -(-sum(n for n in rows.values() if n <= share) // share)
+        among = F.lit(first) + F.pmod(F.xxhash64("part"), F.lit(max(1, rest)))
+        if own:
+            mine = F.create_map(*own)[F.col("part")]
+            among = F.coalesce(mine["first"] + F.pmod(F.xxhash64(*self.keys), mine["n"]), among)
+        return among.cast("int"), first + max(1, rest)
+
     def commit(self, batch: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame], batch_id: int) -> bool:
         """Combine the touched partitions with ``batch``; False if seen before."""
         number, last, current = self._latest()
@@ -102,15 +129,9 @@ class SnapshotTable:
             old = self._read(touched)
             merged = combine(old, batch.select(*old.columns))
             out = merged.withColumn("part", self.part)
-            # One writer per partition while partitions are small; a partition
-            # that grew large is spread over as many as its rows ask for.
-            stored = source_bytes(old) if touched else 0
-            spread = 1 + max(max(sizes.values()) // FILE_ROWS, stored // (len(sizes) * FILE_BYTES))
-            salt = F.pmod(F.xxhash64(*self.keys), F.lit(spread))
-            usual = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
-            wanted = max(usual, sum(sizes.values()) // FILE_ROWS, stored // FILE_BYTES)
-            writers = min(len(sizes) * spread, wanted, MAX_WRITERS)
-            out.repartition(writers, "part", salt).write.partitionBy("part").parquet(f"{self.path}/data/{version}")
+            writer, writers = self._writers(sizes, touched, old)
+            dealt = out.withColumn("_writer", writer).repartitionById(writers, F.col("_writer")).drop("_writer")
+            dealt.write.partitionBy("part").parquet(f"{self.path}/data/{version}")
             current = {**current, **dict.fromkeys(sizes, version)}
         state = json.dumps({"batch": batch_id, "versions": current})
         if not write_text(self.spark, f"{self.path}/log/{number + 1:020d}.json", state):

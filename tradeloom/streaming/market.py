@@ -160,9 +160,8 @@ class OrderFacts:
         # A row that the join gave a review wins over the same order taken directly.
         came = stage(top_per_group(came, ["id"], [F.col("review_ts").isNull(), "kind"], 1), "came")
         rated = came.where("review_ts IS NOT NULL").select(*pair, "rating")
-        open_pairs = came.where("review_ts IS NULL").select(*pair).distinct()
-        known = rated.unionByName(self.ratings.read().join(open_pairs, pair, "left_semi").select(*pair, "rating"))
-        known = known.groupBy(*pair).agg(F.max("rating").alias("rating"))
+        # Stored ratings are few next to orders: folded whole, they need no look at the orders' pairs first.
+        known = rated.unionByName(self.ratings.read().select(*pair, "rating")).groupBy(*pair).agg(F.max("rating").alias("rating"))
         new = order_facts(came.select("id", *pair, "order_ts"), users, goods, categories, known)
 
         changed = new.select(*self.facts.read([]).columns)
