@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_text, rows
+from tradeloom.operators.rankings import counter_rate
 from tradeloom.plans import ordered
 
 
@@ -79,3 +80,37 @@ def test_the_caller_decides_and_names_are_reserved(skewed):
     # Names of this kind that the function used before belong to the caller.
     named = ordered.row_index(skewed.withColumn("_c", F.lit(1)), ["k"], ["o"], number="_n")
     assert {"_c", "_n"} <= set(named.columns)
+
+
+def plain_rates(samples, range_ms):
+    """Rates by a loop over each sample's range; samples are (series, ms, value)."""
+    seconds, out = range_ms / 1000.0, []
+    for i, (key, at, _) in enumerate(samples := sorted(samples)):
+        held = [(t, v) for k, t, v in samples[: i + 1] if k == key and t > at - range_ms]
+        n, sampled = len(held), (at - held[0][0]) / 1000.0
+        if n == 1 or sampled == 0:
+            out.append((key, at, None))
+            continue
+        increase = float(sum(v if v < u else v - u for (_, u), (_, v) in zip(held, held[1:])))
+        lead, spacing = seconds - sampled, sampled / (n - 1)
+        lead = spacing / 2 if lead >= spacing * 1.1 else lead
+        if increase > 0 and held[0][1] >= 0:
+            lead = min(lead, sampled * (held[0][1] / increase))
+        out.append((key, at, round(increase * ((sampled + lead) / sampled) / seconds, 9)))
+    return sorted(out, key=repr)
+
+
+def test_counter_rate_folds_each_sample_once(spark):
+    rng = random.Random(8)
+    # A busy series with restarts and samples at one time, a sparse one with gaps of several ranges,
+    # and one whose samples lie on the edges of slices and ranges.
+    samples = [("busy", rng.randrange(-2000, 6000), rng.randrange(0, 90)) for _ in range(900)]
+    samples += [("sparse", t, v) for v, t in enumerate(rng.sample(range(0, 60_000), 40))]
+    samples += [("edges", t, t % 700) for t in (0, 1, 999, 1000, 1001, 1999, 2000, 2001, 3000, 4000, 4999, 6001)]
+    want = plain_rates(samples, 1000)
+    for given in (samples, samples[::-1]):
+        df = spark.createDataFrame(given, "k string, at bigint, v bigint").repartition(5)
+        rates = counter_rate(df, ["k"], "at", "v", 1000)
+        # A frame that slides would be folded anew at each row: rows times the rows of a range.
+        assert "RangeFrame" not in plan_text(rates)
+        assert rows(rates.withColumn("rate", F.round("rate", 9))) == want

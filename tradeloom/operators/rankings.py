@@ -107,11 +107,14 @@ def counter_rate(
     increase is extended to the edges of the range as far as the sample spacing
     supports it.  Every sample also goes to the next time slice, which gives
     each slice its whole lookback and keeps a busy series spread over slices.
-    A series has at most one sample per millisecond.
+    A series has at most one sample per millisecond; samples at one time are
+    taken in the order of their values.
     """
     slice_no = F.floor(F.col(at_ms) / range_ms)
     placed = samples.select("*", F.explode(F.array(slice_no, slice_no + 1)).alias("_slice"))
-    ordered = W.partitionBy(*series, "_slice").orderBy(at_ms)
+    own = F.col("_slice") == slice_no
+    per_slice = W.partitionBy(*series, "_slice")
+    ordered = per_slice.orderBy(at_ms, value)
     stepped = placed.withColumn("_prev", F.lag(value).over(ordered)).withColumn(
         "_step",
         F.when(F.col("_prev").isNull(), 0.0)
@@ -123,9 +126,17 @@ def counter_rate(
     # be looked up; everything in between is a difference.
     so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
     summed = stepped.withColumn("_sum", F.sum("_step").over(so_far)).withColumn("_no", F.row_number().over(ordered))
-    look = ordered.rangeBetween(-(range_ms - 1), 0)
     opening = F.struct("_sum", "_no", F.col(value).cast("double").alias("_value"), F.col(at_ms).alias("_at"))
-    seen = summed.withColumn("_first", F.first(opening).over(look)).where(F.col("_slice") == slice_no)
+    opened = summed.withColumn("_own_first", F.first(F.when(own, opening), ignorenulls=True).over(so_far))
+    # A frame that slides is folded anew at each of its rows.  Instead the
+    # earlier slice's samples are put at the last time whose range still holds
+    # them; read backwards, the newest one met is the first of the range.
+    last_held = F.when(own, F.col(at_ms)).otherwise(F.col(at_ms) + (range_ms - 1))
+    backwards = per_slice.orderBy(last_held.desc(), own, F.col("_no").desc())
+    held = F.last(F.when(~own, opening), ignorenulls=True).over(
+        backwards.rowsBetween(W.unboundedPreceding, W.currentRow)
+    )
+    seen = opened.withColumn("_first", F.coalesce(held, "_own_first")).where(own)
     increase = F.col("_sum") - F.col("_first._sum")
     sampled = (F.col(at_ms) - F.col("_first._at")) / 1000.0
     count = F.col("_no") - F.col("_first._no") + 1
